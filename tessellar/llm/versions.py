@@ -1,0 +1,70 @@
+"""Records of one preprint: versions, copies and repostings, found by the text they share.
+
+A record is the sequence of the sentences of its paragraphs, each reduced to its ASCII letters and
+digits so that spoilt, re-accented and re-cased copies stay equal.  Two records are of one preprint
+if they share enough pairs of neighbouring sentences; titles and DOIs are not asked.  Groups are
+the connected components of these pairs.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Shared part of the neighbouring sentences of the shorter record, from which two records are one preprint.
+SHARED = 0.4
+#: Records of fewer sentences also count their first one alone, as one changed sentence takes two pairs.
+SHORT = 8
+
+_PARAGRAPH = re.compile(r"<p(?:\s[^>]*)?>(.*?)</p>", re.S)
+_END = re.compile(r"(?<=[.!?])\s+")
+_TAG = re.compile(r"<[^>]*>|&[#\w]+;")
+_NOT_KEPT = re.compile(r"[^a-z0-9]+")
+
+
+def sentence_pairs(text: str | None) -> list[bytes]:
+    """Digests of the distinct pairs of neighbouring sentences; the first of a short text also pairs with nothing."""
+    said: list[str] = []
+    for p in _PARAGRAPH.findall(text or ""):
+        said.extend(k for s in _END.split(_TAG.sub("", p)) if len(k := _NOT_KEPT.sub("", s.lower())) > 12)
+    if len(said) < SHORT:
+        said.insert(0, "")
+    return list({hashlib.blake2b(f"{a} {b}".encode(), digest_size=12).digest(): None for a, b in zip(said, said[1:], strict=False)})
+
+
+def same_text_pairs(df: DataFrame, key: str, text: str) -> DataFrame:
+    """``a`` < ``b``: every two rows whose texts are of one preprint."""
+    kind = df.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                found = [(n, len(d), h) for n, t in enumerate(part.column(1).to_pylist()) for d in (sentence_pairs(t),) for h in d]
+                where, sizes, marks = zip(*found) if found else ((), (), ())
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(where, pa.int32())), pa.array(sizes, pa.int32()), pa.array(marks, pa.binary())], ["k", "n", "mark"])
+
+    marks = df.select(F.col(key).alias("__key"), F.col(text).alias("__text")).mapInArrow(run, f"k {kind}, n int, mark binary")
+    shared = marks.groupBy("mark").agg(F.collect_list(F.struct("k", "n")).alias("m")).where(F.size("m") > 1)
+    both = shared.select("m", F.explode("m").alias("a")).select("a", F.explode("m").alias("b")).where("a.k < b.k")
+    counted = both.groupBy(F.col("a.k").alias("a"), F.col("b.k").alias("b")).agg(F.count(F.lit(1)).alias("shared"), F.first(F.least("a.n", "b.n")).alias("n"))
+    return counted.where(F.col("shared") >= F.lit(SHARED) * F.col("n")).select("a", "b")
+
+
+def groups(pairs: DataFrame) -> DataFrame:
+    """``id``, ``group``: the smallest id of the connected component of every id in ``pairs``."""
+    pairs = pairs.persist()
+    links = pairs.select(F.col("a").alias("x"), F.col("b").alias("y")).union(pairs.select("b", "a")).persist()
+    now = links.groupBy(F.col("x").alias("id")).agg(F.least(F.col("x"), F.min("y")).alias("group")).persist()
+    while True:
+        near = links.join(now, links.y == now.id).groupBy("x").agg(F.min("group").alias("low"))
+        then = now.join(near, now.id == near.x).select("id", F.least("group", "low").alias("group"), (F.col("low") < F.col("group")).alias("moved")).persist()
+        more = then.where("moved").limit(1).count()
+        now = then.drop("moved")
+        if not more:
+            return now

@@ -1,0 +1,46 @@
+import __spark_entry__ as entry
+from tessellar.llm.links import links
+from tessellar.llm.lookalike import lookalike_pairs, one_form
+from tessellar.llm.versions import groups, same_text_pairs
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_entry_and_queries_give_rows(spark):
+    assert entry.entry(spark).count() > 0
+    for name in ("p5_found", "p6_found", "p7_found", "p10_found"):
+        df = entry.queries()[name](spark, SF)
+        assert df.count() == df.distinct().count() > 0, name
+
+
+def test_links_number_in_document_order():
+    text = """<article><front><contrib-group>
+    <contrib><aff id="a1"/><xref ref-type="aff" rid="a2"/><xref ref-type="corresp" rid="a1"/></contrib>
+    <contrib><xref ref-type="aff" rid="a2"/><xref ref-type="aff" rid="a2"/></contrib></contrib-group>
+    <aff id="a2"/><aff id="a2"/><abstract><p>no</p></abstract></front>
+    <body><p>1</p><sec><p>2</p><sec><list><list-item><p>3</p></list-item></list></sec><p>4</p></sec></body>
+    <back><ref-list><ref/><ref><name/><name/></ref></ref-list></back></article>"""
+    got = links(text)
+    assert len(got) == len(set(got))
+    assert set(got) == {
+        ("contrib", 0, 1), ("contrib", 0, 2), ("contrib_aff", 1, 1), ("contrib_aff", 1, 2), ("contrib_aff", 1, 3), ("contrib_aff", 2, 2), ("contrib_aff", 2, 3),
+        ("sec", 0, 1), ("sec", 1, 2), ("p", 0, 1), ("p", 1, 2), ("p", 2, 3), ("p", 1, 4), ("ref", 0, 1), ("ref", 0, 2), ("ref_name", 2, 1), ("ref_name", 2, 2),
+    }
+    assert links("<a><p>") == links("") == links(None) == []
+
+
+def test_one_form_joins_what_looks_the_same_only(spark):
+    same = [("ação", "ação"), ("escola", "еѕсоlа"), ("word", "wo​rd"), ("A1 b", "Ａ１　ｂ"), ("find", "ﬁnd"), ("273 K", "273\xa0K")]
+    assert all(one_form(a) == one_form(b) for a, b in same)
+    other = [("são", "sao"), ("A", "a"), ("x, y", "x y"), ("β", "ß"), ("a-b", "a–b"), ("1", "l")]
+    assert all(one_form(a) != one_form(b) for a, b in other)
+    df = spark.createDataFrame([(1, "one"), (2, "onе"), (3, "one"), (4, "two"), (5, None)], "id bigint, t string")
+    assert {tuple(r) for r in lookalike_pairs(df, "id", "t").collect()} == {(1, 2), (2, 3)}
+
+
+def test_records_of_one_preprint_by_text(spark):
+    said = [f"This is sentence number {n} of the study on ação {n * 7}." for n in range(12)]
+    text = lambda s: "<a><p>" + " ".join(s) + "</p></a>"
+    rows = [("P3", text(said)), ("P1", text([*said[:5], "A new one was written here.", *said[6:]])), ("P2", text(said).encode().decode("cp1252")), ("P4", text([s.replace("study", "sequel") for s in said]))]
+    df = spark.createDataFrame(rows, "k string, t string")
+    assert {tuple(r) for r in groups(same_text_pairs(df, "k", "t")).collect()} == {(k, "P1") for k in ("P1", "P2", "P3")}
