@@ -8,7 +8,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_entry_and_queries_give_rows(spark):
     assert entry.entry(spark).count() > 0
-    for name in ("p5_found", "p6_found", "p7_found", "p10_found"):
+    for name in ("p3_found", "p3_restored", "p5_found", "p6_found", "p7_found", "p10_found"):
         df = entry.queries()[name](spark, SF)
         assert df.count() == df.distinct().count() > 0, name
 
@@ -44,3 +44,10 @@ def test_records_of_one_preprint_by_text(spark):
     rows = [("P3", text(said)), ("P1", text([*said[:5], "A new one was written here.", *said[6:]])), ("P2", text(said).encode().decode("cp1252")), ("P4", text([s.replace("study", "sequel") for s in said]))]
     df = spark.createDataFrame(rows, "k string, t string")
     assert {tuple(r) for r in groups(same_text_pairs(df, "k", "t")).collect()} == {(k, "P1") for k in ("P1", "P2", "P3")}
+
+
+def test_p3_reads_every_row_and_restores(spark, tmp_path):
+    rows = [("P1", "<p>educaÃ§Ã£o</p>"), ("P2", "<p>educação</p>"), ("P3", "<p>educa??o</p>")]
+    spark.createDataFrame(rows, "ppr_id string, xml string").write.parquet(f"{tmp_path}/hf_dataset.parquet")
+    assert {r.ppr_id for r in entry.queries()["p3_found"](spark, str(tmp_path)).collect()} == {"P1", "P3"}
+    assert {r.ppr_id: r.restored for r in entry.queries()["p3_restored"](spark, str(tmp_path)).collect()}["P1"] == rows[1][1]
