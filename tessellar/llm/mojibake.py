@@ -135,6 +135,15 @@ def _layer(text: str, page: str) -> tuple[str, int]:
     return ("".join(out), made) if made else (text, 0)
 
 
+#: Lead and continuation byte of any one page; a text without such neighbours has no span.
+_PAIRS = {a + b for t in _TO_BYTE.values() for a, m in t.items() if 0xC2 <= m < 0xF5 for b, n in t.items() if n < 0xC0}
+_HIGH_RUN = re.compile("[^\x00-\x7f]{2,}")
+
+
+def _may_have_span(text: str) -> bool:
+    return any(r[i : i + 2] in _PAIRS for r in set(_HIGH_RUN.findall(text)) for i in range(len(r) - 1))
+
+
 _CYRILLIC = re.compile("[Ѐ-ӿ]")
 _RUN = {page: re.compile("[" + "".join(map(re.escape, sorted(t))) + "]{2,}") for page, t in _TO_BYTE.items()}
 
@@ -199,7 +208,7 @@ def repair(text: str | None) -> tuple[str | None, str]:
         return text, ""
     kinds, now = [], text
     if not text.isascii():
-        for _ in range(MAX_LAYERS):
+        for _ in range(MAX_LAYERS if _may_have_span(text) else 0):
             best, most = now, 0
             for page in LEGACY_PAGES:
                 got, made = _layer(now, page)
@@ -221,12 +230,8 @@ def repair(text: str | None) -> tuple[str | None, str]:
     return now, ",".join(kinds)
 
 
-#: What every text that repair() could find anything in has; the rest is clean and skips Python.
-SUSPECT = (
-    r"[^\x00-\x7e" + COMMON_LETTERS + r" °±«»¿¡–—’“”]"
-    r"|[\xa0-\xff–-”][\xa0-\xbf–-”]|[a-zß-ÿ][À-Þ][a-z]|[0-9] ?[±«»¿¡–—’“”" + COMMON_LETTERS + r"]C"
-    r"|[A-Za-z" + COMMON_LETTERS + r"]\?+[a-z" + COMMON_LETTERS + r"]|[A-Za-z][¡±«»¿][A-Za-z]"
-)
+#: What every text that repair() could find anything in has: a character beyond ASCII or a question mark.
+SUSPECT = r"[^\x00-\x7e]|\?"
 
 
 def suspect(text: Column) -> Column:

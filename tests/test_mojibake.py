@@ -1,0 +1,17 @@
+import pytest
+
+from pyspark.sql import functions as F
+from tessellar.llm.mojibake import repair, suspect
+
+
+def spoil(text, true, wrong):
+    return text.encode(true).decode(wrong)
+
+
+def test_prefilter_drops_only_what_repair_leaves(spark):
+    texts = ["committee ÔÇô made up of", "it isnÔÇÖt", spoil("a β value of σ", "utf-8", "mac_roman"), "clean text", "educação – l’âge", "", "EDUCA??O"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    dropped = {r.t for r in df.where(~suspect(F.col("t"))).collect()}
+    assert all(repair(t)[1] == "" for t in dropped)
+    assert not dropped & set(texts[:3])
+    assert repair(texts[0]) == ("committee – made up of", "span")
