@@ -8,7 +8,7 @@ Three shapes of damage are told apart, each on whole texts:
 ``swap``     text of one single-byte code page read in another.  No multi-byte structure is
              left, so the characters are mapped back to bytes and read in each known page;
              the reading that leaves only ordinary letters in every damaged word wins.
-``loss``     replacement characters or question marks inside words: found, not restorable.
+``loss``     replacement characters or question marks for letters: found, not restorable.
 
 Null and empty texts are clean and come back unchanged.
 """
@@ -158,7 +158,22 @@ _DAMAGE = re.compile(
     r"|[A-Za-z][þðıłŁśťžŽšŠşŞżĂăĽľŤŚŹźĺŕŘřŮůŰűŐőĎďČčĚěŇňİğĞ][a-z]"
     rf"|[А-Яа-яЂ-џѐ-ѯҐґ][{_LETTER}]|[{_LETTER}][А-Яа-яЂ-џѐ-ѯҐґ]"
 )
-_LOSS = re.compile(f"�|[{_LETTER}]\\?+[a-z{COMMON_LETTERS}]")
+#: Question marks in place of letters and signs.  One mark between a word and a blank is an ordinary question.
+_LOSS = re.compile(
+    r"�|[^\W\d_]\?+[^\W\d_]"  # inside a word, capitals too
+    r"|[0-9] \?+ [0-9]|[0-9] ?\?+C\b"  # plus-minus and degree signs
+    r"|[^\W\d_]\?{2,}(?= [^\W\d_])"  # a run after a word in mid-sentence
+    r"|(?<![^\s>(])\?+[^\W\d_]"  # first letter
+    r"|[^\W\d_]\?+(?=</(?:given-names|surname|kwd)>|,? [A-Z]\w*</(?:given-names|surname)>)"  # last letter of a name or keyword
+)
+_MARKS = re.compile(r"\?+")
+
+
+def _lost(text: str) -> bool:
+    """Whether _LOSS matches; it is tried around the marks only."""
+    return "�" in text or any(_LOSS.search(text[max(0, m.start() - 3) : m.end() + 80]) for m in _MARKS.finditer(text))
+
+
 _URL = re.compile(r"https?://\S+|\b10\.\d{4,}/\S+")
 
 
@@ -225,7 +240,7 @@ def repair(text: str | None) -> tuple[str | None, str]:
             pages = swap_pages(now)
             pieces = re.split("(<[^>]*>)", now)  # only the spoilt elements are read anew
             now = "".join(swap_read(p, own) if p and p[0] != "<" and _DAMAGE.search(p) and (own := pages or swap_pages(p)) else p for p in pieces)
-    if ("?" in now or "�" in now) and _LOSS.search(_URL.sub(" ", now)):
+    if ("?" in now or "�" in now) and _lost(_URL.sub(" ", now)):
         kinds.append("loss")
     return now, ",".join(kinds)
 

@@ -15,3 +15,13 @@ def test_prefilter_drops_only_what_repair_leaves(spark):
     assert all(repair(t)[1] == "" for t in dropped)
     assert not dropped & set(texts[:3])
     assert repair(texts[0]) == ("committee – made up of", "span")
+
+
+@pytest.mark.parametrize("text", ["95.5 ? 5.3 units", "of 24 ?C.", "nobody talks about?? in the area", "selon l?ƒge", "EDUCA??O", "S?O", "a ?rea urbana", "<given-names>Jos?</given-names>", "<given-names>Jos? Maria</given-names>"])
+def test_question_marks_for_letters_are_found(text):
+    assert "loss" in repair(text)[1]
+
+
+@pytest.mark.parametrize("text", ["Why now? The", "à Pré-Cagui ? D’après", "villa danoéu? evidencias de", "Dogacoón?. ¿Por qué", "<p>Why?</p>", "Why? (α = 0,05)", "see https://a.example/b?c=d"])
+def test_questions_are_clean(text):
+    assert repair(text)[1] == ""
