@@ -16,6 +16,7 @@ Null and empty texts are clean and come back unchanged.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -102,13 +103,15 @@ def well_formed_spans(data: list[int]) -> list[tuple[int, int]]:
     return spans
 
 
-def _plausible(ch: str) -> bool:
-    o = ord(ch)
-    return 0xA0 <= o <= 0x17F or o in (0x192, 0x2C6, 0x2DC) or 0x2010 <= o <= 0x203A or o in (0x20AC, 0x2122, 0x2212, 0xFEFF) or 0x2248 <= o <= 0x2265 or 0x391 <= o <= 0x3C9 or 0x80 <= o < 0xA0 or ch in _WESTERN_MOJIBAKE
+def _assigned(ch: str) -> bool:
+    return "\x80" <= ch < "\xa0" or unicodedata.category(ch) not in ("Cc", "Cn", "Co", "Cs")
 
 
-#: Characters that UTF-8 lead and continuation bytes show up as; one layer of several may leave them.
-_WESTERN_MOJIBAKE = {c for page in ("cp1252", "mac_roman", "cp437", "cp850") for c, b in _TO_BYTE[page].items()}
+def _plausible(got: str) -> list[bool]:
+    """Of each character decoded: European letters, marks, signs and the loss sign always,
+    others assigned only beside each other or from four bytes, as a clean letter and two signs may form one."""
+    alone = [_assigned(c) and (o < 0x530 or 0x1E00 <= o <= 0x27BF or 0xFB00 <= o <= 0xFB06 or o in (0xFEFF, 0xFFFD) or o > 0xFFFF) for c in got for o in (ord(c),)]
+    return [ok or (_assigned(c) and any(not alone[k] and _assigned(got[k]) for k in (n - 1, n + 1) if 0 <= k < len(got))) for n, (c, ok) in enumerate(zip(got, alone, strict=True))]
 
 
 def _layer(text: str, page: str) -> tuple[str, int]:
@@ -119,8 +122,8 @@ def _layer(text: str, page: str) -> tuple[str, int]:
         data = [table[c] for c in chars]
         for a, b in well_formed_spans(data):
             got = bytes(data[a:b]).decode("utf-8")
-            if not all(map(_plausible, got)):
-                # one implausible character does not spoil its neighbours: keep those that decode well alone
+            good = _plausible(got)
+            if not any(good):
                 continue
             start, end = run.start() + a, run.start() + b
             before, after = text[start - 1 : start], text[end : end + 1]
@@ -129,8 +132,12 @@ def _layer(text: str, page: str) -> tuple[str, int]:
             if page in ("cp1252", "cp1254", "iso8859_15", "cp1250") and b - a == 2 and chars[b - 1] in "”“’‘»—–…" and before.isupper() and not after.isalpha():
                 continue  # a capital letter and a closing mark
             out.append(text[at:start])
-            out.append(got)
-            at, made = end, made + len(got)
+            # an implausible character does not spoil its neighbours: it stays as it is
+            pos = start
+            for c, ok in zip(got, good, strict=True):
+                out.append(c if ok else text[pos : pos + len(c.encode())])
+                pos += len(c.encode())
+            at, made = end, made + sum(good)
     out.append(text[at:])
     return ("".join(out), made) if made else (text, 0)
 

@@ -25,3 +25,14 @@ def test_question_marks_for_letters_are_found(text):
 @pytest.mark.parametrize("text", ["Why now? The", "à Pré-Cagui ? D’après", "villa danoéu? evidencias de", "Dogacoón?. ¿Por qué", "<p>Why?</p>", "Why? (α = 0,05)", "see https://a.example/b?c=d"])
 def test_questions_are_clean(text):
     assert repair(text)[1] == ""
+
+
+@pytest.mark.parametrize("text", ["a � b", "CO₂ rises", "from a → b", "x ∈ y", "5 m² and 10⁻³", "Привет", "Việt Nam", "Timișoara", "e\u0301", "é→ç", "数据", "a 😀 b"])
+def test_every_decodable_character_of_a_span_is_decoded(text):
+    assert repair(spoil(text, "utf-8", "mac_roman"))[0] == text
+    assert "span" in repair(spoil(text, "utf-8", "mac_roman"))[1]
+
+
+@pytest.mark.parametrize("text", ["groß“ und", "la santé\xa0» est", "der Spaß“.", "tamanho é grande", "«ação»"])
+def test_clean_neighbours_are_no_span(text):
+    assert repair(text) == (text, "")
