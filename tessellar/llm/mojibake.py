@@ -165,6 +165,15 @@ _DAMAGE = re.compile(
     r"|[A-Za-z][þðıłŁśťžŽšŠşŞżĂăĽľŤŚŹźĺŕŘřŮůŰűŐőĎďČčĚěŇňİğĞ][a-z]"
     rf"|[А-Яа-яЂ-џѐ-ѯҐґ][{_LETTER}]|[{_LETTER}][А-Яа-яЂ-џѐ-ѯҐґ]"
 )
+#: Single-byte swaps that show only as signs or letters of clean text: by the words they stand in.
+_QUIET = re.compile(
+    r"[a-zñ]—(?:n|nic[ao]s?|gic[ao]s?|mic[ao]s?|ric[ao]s?|lic[ao]s?|tic[ao]s?|sitos?|stic[ao]s?)(?!\w)"  # ó
+    r"|\b[Aa]–[oa]s?(?!\w)|(?:[Ss]e|[Nn]i|[Mm]a|[Ee]nse|[Tt]ama|[Pp]eque|[Ee]spa|[Mm]onta|[Cc]ampa|[Cc]ompa|[Oo]to|[Dd]esempe)–[a-z]"  # ñ
+    r"|[a-z]{2}’(?:nic[ao]|tic[ao]|fic[ao]|mic[ao]|sic[ao]|ric[ao]|lic[ao]|stic[ao]|odo|cul[ao]|mite|nea|ses|ndice)s?(?!\w)|[a-z]{3}’(?:as?|os?|an)(?!\w)"  # í
+    rf"|[{_LETTER}]·(?<![lL]·)[{_LETTER}]|[{_LETTER}]·(?![lL])[{_LETTER}]"  # á, but not the Catalan l·l
+    r"|[b-df-hj-np-tv-xzB-DF-HJ-NP-TV-XZ]ß[a-z]"  # á: no German ß follows a consonant
+)
+_QUIET_PAGES = {"—": ("cp1252", "mac_roman"), "–": ("cp1252", "mac_roman"), "’": ("cp1252", "mac_roman"), "·": ("mac_roman", "cp1252"), "ß": ("cp437", "cp1252")}
 #: Question marks in place of letters and signs.  One mark between a word and a blank is an ordinary question.
 _LOSS = re.compile(
     r"�|[^\W\d_]\?+[^\W\d_]"  # inside a word, capitals too
@@ -173,6 +182,7 @@ _LOSS = re.compile(
     r"|(?<![^\s>(])\?+[^\W\d_]"  # first letter
     r"|[^\W\d_]\?+(?=</(?:given-names|surname|kwd)>|,? [A-Z]\w*</(?:given-names|surname)>)"  # last letter of a name or keyword
 )
+_QUIET_SIGN = re.compile(r"[^\W\d_][—–’·ß][^\W\d_]")
 _MARKS = re.compile(r"\?+")
 
 
@@ -247,6 +257,11 @@ def repair(text: str | None) -> tuple[str | None, str]:
             pages = swap_pages(now)
             pieces = re.split("(<[^>]*>)", now)  # only the spoilt elements are read anew
             now = "".join(swap_read(p, own) if p and p[0] != "<" and _DAMAGE.search(p) and (own := pages or swap_pages(p)) else p for p in pieces)
+        plain = _URL.sub(" ", now)
+        if _QUIET_SIGN.search(plain) and _QUIET.search(plain):
+            if "swap" not in kinds:
+                kinds.append("swap")
+            now = _QUIET.sub(lambda m: "".join(swap_read(c, _QUIET_PAGES[c]) if c in _QUIET_PAGES else c for c in m.group()), now)
     if ("?" in now or "�" in now) and _lost(_URL.sub(" ", now)):
         kinds.append("loss")
     return now, ",".join(kinds)

@@ -36,3 +36,13 @@ def test_every_decodable_character_of_a_span_is_decoded(text):
 @pytest.mark.parametrize("text", ["groß“ und", "la santé\xa0» est", "der Spaß“.", "tamanho é grande", "«ação»"])
 def test_clean_neighbours_are_no_span(text):
     assert repair(text) == (text, "")
+
+
+@pytest.mark.parametrize("text, true, wrong", [("la cicatrización de", "mac_roman", "cp1252"), ("una clínica de", "mac_roman", "cp1252"), ("el período de", "mac_roman", "cp1252"), ("del año 1996", "mac_roman", "cp1252"), ("González", "cp1252", "mac_roman"), ("González", "cp1252", "cp437"), ("González", "cp1252", "cp850")])
+def test_swaps_that_show_as_clean_signs_are_found_and_read(text, true, wrong):
+    assert repair(spoil(text, true, wrong)) == (text, "swap")
+
+
+@pytest.mark.parametrize("text", ["Jusqu’alors l’âge", "it isn’t the teachers’ plan", "organizador —formado por 18 docentes— revisó", "pages 3–9", "col·legi", "Maßnahme groß", "Qur’an"])
+def test_clean_signs_between_letters_stay(text):
+    assert repair(text) == (text, "")
