@@ -27,8 +27,6 @@ from pyspark.sql import functions as F
 LEGACY_PAGES = ("cp1252", "mac_roman", "cp1250", "cp1251", "cp850", "cp437", "cp1254", "cp852", "iso8859_15", "cp866", "koi8_r")
 #: Pages tried as the true and as the wrong one of single-byte text.
 SINGLE_BYTE_PAGES = ("cp1252", "mac_roman", "cp850", "cp437", "cp1250", "cp1251", "cp1254", "cp852", "koi8_r", "iso8859_2", "iso8859_5")
-#: How often one text may have been spoilt over.
-MAX_LAYERS = 4
 
 #: The letters beyond ASCII of Portuguese, Spanish, English, French and German.
 WESTERN_LETTERS = "áàâãäåæçéèêëíìîïñóòôõöøœúùûüýÿßÁÀÂÃÄÅÆÇÉÈÊËÍÌÎÏÑÓÒÔÕÖØŒÚÙÛÜÝŸ"
@@ -240,7 +238,7 @@ def repair(text: str | None) -> tuple[str | None, str]:
         return text, ""
     kinds, now = [], text
     if not text.isascii():
-        for _ in range(MAX_LAYERS if _may_have_span(text) else 0):
+        while _may_have_span(now):  # every pass shortens the text
             best, most = now, 0
             for page in LEGACY_PAGES:
                 got, made = _layer(now, page)

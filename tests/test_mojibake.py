@@ -46,3 +46,12 @@ def test_swaps_that_show_as_clean_signs_are_found_and_read(text, true, wrong):
 @pytest.mark.parametrize("text", ["Jusqu’alors l’âge", "it isn’t the teachers’ plan", "organizador —formado por 18 docentes— revisó", "pages 3–9", "col·legi", "Maßnahme groß", "Qur’an"])
 def test_clean_signs_between_letters_stay(text):
     assert repair(text) == (text, "")
+
+
+def test_layers_of_several_places_are_all_undone():
+    title, body, back = "educação", "Привет мир", "coração é só"
+    spoilt = title
+    for _ in range(5):
+        spoilt = spoil(spoilt, "utf-8", "mac_roman")
+    spoilt = f"<a>{spoilt}</a><b>{spoil(body, 'utf-8', 'cp866')}</b><c>{spoil(back, 'utf-8', 'cp437')}</c>"
+    assert repair(spoilt) == (f"<a>{title}</a><b>{body}</b><c>{back}</c>", "span")
