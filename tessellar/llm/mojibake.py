@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -180,7 +181,30 @@ _LOSS = re.compile(
     r"|(?<![^\s>(])\?+[^\W\d_]"  # first letter
     r"|[^\W\d_]\?+(?=</(?:given-names|surname|kwd)>|,? [A-Z]\w*</(?:given-names|surname)>)"  # last letter of a name or keyword
 )
-_QUIET_SIGN = re.compile(r"[^\W\d_][—–’·ß][^\W\d_]")
+_QUIET_SIGN = re.compile("[—–’·ß]")
+_ODD_RUN = re.compile("[^\x00-\x7e]+")
+
+
+@lru_cache(1 << 15)
+def _damaged_piece(piece: str) -> bool:
+    return _DAMAGE.search(piece) is not None
+
+
+@lru_cache(1 << 15)
+def _quiet_piece(piece: str) -> bool:
+    return _QUIET.search(piece) is not None
+
+
+def _damaged(text: str) -> bool:
+    """Whether _DAMAGE matches; a match lies within four characters of a run beyond ASCII."""
+    return any(map(_damaged_piece, {text[max(0, m.start() - 4) : m.end() + 4] for m in _ODD_RUN.finditer(text)}))
+
+
+def _quiet(text: str) -> bool:
+    """Whether _QUIET matches; a match lies within twelve characters of its sign."""
+    return any(map(_quiet_piece, {text[max(0, m.start() - 12) : m.end() + 12] for m in _QUIET_SIGN.finditer(text)}))
+
+
 _MARKS = re.compile(r"\?+")
 
 
@@ -250,17 +274,20 @@ def repair(text: str | None) -> tuple[str | None, str]:
             if "span" not in kinds:
                 kinds.append("span")
         plain = _URL.sub(" ", now)
-        if _DAMAGE.search(plain):
+        if _damaged(plain):
             kinds.append("swap")
             pages = swap_pages(now)
             pieces = re.split("(<[^>]*>)", now)  # only the spoilt elements are read anew
             now = "".join(swap_read(p, own) if p and p[0] != "<" and _DAMAGE.search(p) and (own := pages or swap_pages(p)) else p for p in pieces)
-        plain = _URL.sub(" ", now)
-        if _QUIET_SIGN.search(plain) and _QUIET.search(plain):
+            plain = _URL.sub(" ", now)
+        if _quiet(plain):
             if "swap" not in kinds:
                 kinds.append("swap")
             now = _QUIET.sub(lambda m: "".join(swap_read(c, _QUIET_PAGES[c]) if c in _QUIET_PAGES else c for c in m.group()), now)
-    if ("?" in now or "�" in now) and _lost(_URL.sub(" ", now)):
+            plain = _URL.sub(" ", now)
+    else:
+        plain = _URL.sub(" ", now) if "?" in now else now
+    if ("?" in plain or "�" in plain) and _lost(plain):
         kinds.append("loss")
     return now, ",".join(kinds)
 
