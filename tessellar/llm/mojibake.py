@@ -113,6 +113,21 @@ def _plausible(got: str) -> list[bool]:
     return [ok or (_assigned(c) and any(not alone[k] and _assigned(got[k]) for k in (n - 1, n + 1) if 0 <= k < len(got))) for n, (c, ok) in enumerate(zip(got, alone, strict=True))]
 
 
+#: Opening quotes of each closing mark.
+_OPENING = {"”": "“", "“": "„", "’": "‘", "‘": "‚", "»": "«"}
+_FINAL_TILDE = re.compile(r"(?:MANH|IRM|MAÇ|CRIST|ROM|ALEM|CIDAD|ÓRF|HORTEL|AVEL|CAMPE|\b[LFVS]|\bAN)$")
+
+
+def _closes(text: str, start: int) -> bool:
+    """Whether the capital at ``start`` ends a clean word and the mark after it stands for itself:
+    Ã does so after its opening quote in the text node or in a word that ends in Ã, others always."""
+    if text[start] != "Ã":
+        return True
+    node = text[max(text.rfind(">", 0, start), text.rfind("<", 0, start)) + 1 : start]
+    mark = text[start + 1]
+    return node.count(_OPENING.get(mark, mark)) > (node.count(mark) if mark in _OPENING else len(node)) or _FINAL_TILDE.search(node) is not None
+
+
 def _layer(text: str, page: str) -> tuple[str, int]:
     """Decode the well-formed spans of one page; how many characters came out."""
     table, out, at, made = _TO_BYTE[page], [], 0, 0
@@ -128,7 +143,7 @@ def _layer(text: str, page: str) -> tuple[str, int]:
             before, after = text[start - 1 : start], text[end : end + 1]
             if page == "cp1251" and (_CYRILLIC.match(before) or _CYRILLIC.match(after)):
                 continue  # inside a Cyrillic word
-            if page in ("cp1252", "cp1254", "iso8859_15", "cp1250") and b - a == 2 and chars[b - 1] in "”“’‘»—–…" and before.isupper() and not after.isalpha():
+            if page in ("cp1252", "cp1254", "iso8859_15", "cp1250") and b - a == 2 and chars[b - 1] in "”“’‘»—–…" and before.isupper() and not after.isalpha() and _closes(text, start):
                 continue  # a capital letter and a closing mark
             out.append(text[at:start])
             # an implausible character does not spoil its neighbours: it stays as it is

@@ -55,3 +55,13 @@ def test_layers_of_several_places_are_all_undone():
         spoilt = spoil(spoilt, "utf-8", "mac_roman")
     spoilt = f"<a>{spoilt}</a><b>{spoil(body, 'utf-8', 'cp866')}</b><c>{spoil(back, 'utf-8', 'cp437')}</c>"
     assert repair(spoilt) == (f"<a>{title}</a><b>{body}</b><c>{back}</c>", "span")
+
+
+@pytest.mark.parametrize("text", ["O AVÓ E", "DO PÔ", "<p>„X“ AVÓ</p>"])
+def test_capital_words_ending_in_an_accented_o_are_restored(text):
+    assert repair(text.replace("Ó", "Ã“").replace("Ô", "Ã”")) == (text, "span")
+
+
+@pytest.mark.parametrize("text", ["“TERÃ”", "AMANHÃ” disse", "„TERÃ“", "“CAFÉ”"])
+def test_capital_and_closing_mark_stay(text):
+    assert repair(text) == (text, "")
