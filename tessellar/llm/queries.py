@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tessellar.llm.lookalike import form_rows, lookalike_pairs
 from tessellar.llm.mojibake import repair_texts
+from tessellar.llm.names import mentions, name_pairs, organisations
 from tessellar.llm.versions import groups, same_text_pairs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +31,18 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+@query()
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spellings of one person or one organisation, in pairs."""
+    return name_pairs(read(spark, sf_dir, "hf_dataset"), "ppr_id", "authors")
+
+
+@query()
+def p2_organisations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every spelling of an affiliation and the least spelling of its organisation."""
+    return organisations(mentions(read(spark, sf_dir, "hf_dataset"), "ppr_id", "authors"))
+
+
 @query()
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records whose XML holds spoilt text."""
