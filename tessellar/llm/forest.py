@@ -24,6 +24,12 @@ CAP = 1_000_000
 FAN_IN = 8
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """The table written to the shared folder: plans stay short, and a lost executor loses nothing."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
 def _forest(edges: DataFrame) -> DataFrame:
     """Edges (a, b) to the edges (node, root) of each task's forest; roots are least members."""
     kind = edges.schema["a"].dataType.simpleString()

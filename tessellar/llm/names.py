@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessellar.llm.forest import components
+from tessellar.llm.forest import components, cut
 from tessellar.llm.mojibake import repair
 
 #: Shortest suffix indexed, names a key may have before it is refined, and names compared in one block.
@@ -179,43 +179,44 @@ def acronym(code: str, words: tuple[str, ...]) -> bool:
 
 
 def _tokenised(strings: DataFrame, commas: bool) -> DataFrame:
-    """``name`` to ``name``, ``unit`` (tokens joined), ``tokens``; persons' tokens are sorted."""
+    """``name``, ``unit`` (its tokens joined) of every distinct name; persons' tokens are sorted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.column(0).to_pylist()
             if commas:
-                cut = [tuple(x for n, part in enumerate(s.split(",", 1)) for x in ((",",) * n + tokens(part, False))) for s in names]
+                found = [tuple(x for n, part in enumerate(s.split(",", 1)) for x in ((",",) * n + tokens(part, False))) for s in names]
             else:
-                cut = [tuple(sorted(tokens(s))) for s in names]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([" ".join(c) for c in cut], pa.string()), pa.array(cut, pa.list_(pa.string()))], ["name", "unit", "tokens"])
+                found = [tuple(sorted(tokens(s))) for s in names]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([" ".join(c) for c in found], pa.string())], ["name", "unit"])
 
-    return strings.select("name").distinct().mapInArrow(run, "name string, unit string, tokens array<string>").where("unit <> ''")
+    return cut(strings.select("name").distinct().mapInArrow(run, "name string, unit string").where("unit <> ''"))
 
 
 def suffix_pairs(units: DataFrame, level: Callable[[tuple[str, ...], tuple[str, ...]], int], shortest: int = SHORTEST, common: int = COMMON, block: int = BLOCK) -> DataFrame:
     """``a`` < ``b``, ``level`` > 0 of all pairs of ``unit`` that share an index key and are alike."""
-    one = units.select("unit", F.array_remove(F.array_distinct("tokens"), ",").alias("tokens")).dropDuplicates(["unit"])
-    long = one.select("unit", "tokens", F.explode(F.filter("tokens", lambda t: F.length(t) >= shortest)).alias("token"))
-    index = long.select("unit", "tokens", "token", F.explode(F.sequence(F.lit(1), F.length("token") - (shortest - 1))).alias("at")).select(
-        "unit", "tokens", "token", F.expr("substring(token, at)").alias("suffix"), F.expr("CASE WHEN at = 1 THEN '' ELSE substring(token, at - 1, 1) END").alias("before")
+    one = cut(units.select("unit").distinct().withColumn("uid", F.xxhash64("unit")))
+    long = one.select("uid", F.posexplode(F.split("unit", " ")).alias("place", "token")).where(F.length("token") >= shortest)
+    index = long.select("uid", "place", "token", F.explode(F.sequence(F.lit(1), F.length("token") - (shortest - 1))).alias("at")).select(
+        "uid", "place", F.xxhash64(F.expr("substring(token, at)")).alias("suffix"), F.expr("CASE WHEN at = 1 THEN '' ELSE substring(token, at - 1, 1) END").alias("before")
     )
     # a suffix that all its names continue by the same letter has the very names of the longer one
     counted = index.groupBy("suffix").agg(F.count(F.lit(1)).alias("n"), F.min("before").alias("x"), F.max("before").alias("y")).where("n > 1 AND (x <> y OR x = '')").select("suffix", "n")
-    known = index.join(counted, "suffix")
+    known = index.join(counted, "suffix").select("uid", "place", "suffix", "n", (F.col("before") == "").alias("whole"))
+    known = cut(known.join(one, "uid").select("suffix", "n", "whole", "place", "unit"))
     first = known.where(F.col("n") <= common).select(F.col("suffix").alias("key"), "unit", F.lit(0).alias("cell"))
 
     def refined(rows: DataFrame, letters: int) -> DataFrame:
-        others = F.array_except("tokens", F.array("token"))
-        starts = F.array_distinct(F.transform(others, lambda t: F.substring(t, 1, letters)))
-        return rows.select("unit", "tokens", "token", "suffix", F.explode(starts).alias("start")).withColumn("key", F.concat_ws("|", F.lit(letters), "suffix", "start"))
+        tokens_ = F.split("unit", " ")
+        starts = F.array_distinct(F.transform(F.array_except(tokens_, F.array(F.get(tokens_, "place"))), lambda t: F.substring(t, 1, letters)))
+        return rows.select("unit", "place", "suffix", "whole", F.explode(starts).alias("start")).withColumn("key", F.xxhash64("suffix", "start"))
 
     def sized(rows: DataFrame) -> DataFrame:
         sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
         return rows.join(sizes, "key")
 
-    second = sized(refined(known.where(F.col("n") > common), 1))
-    third = sized(refined(second.where((F.col("m") > common) & (F.col("suffix") == F.col("token"))).select("unit", "tokens", "token", "suffix").distinct(), 3))
+    second = cut(sized(refined(known.where(F.col("n") > common), 1)).select("key", "unit", "place", "suffix", "whole", "m"))
+    third = sized(refined(second.where((F.col("m") > common) & F.col("whole")).select("unit", "place", "suffix", "whole").distinct(), 3))
     # a large group is cut into blocks; a pair of blocks is one task's row, so no group is held whole
     blocks = F.ceil(F.col("m") / block).cast("int")
     own = F.pmod(F.xxhash64("unit"), blocks).cast("int")
@@ -227,7 +228,7 @@ def suffix_pairs(units: DataFrame, level: Callable[[tuple[str, ...], tuple[str,
     lists = groups.groupBy("key", "cell").agg(F.collect_set("unit").alias("units")).where("size(units) > 1").select("units")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = lru_cache(1 << 16)(lambda u: tuple(u.split(" ")))
+        split = lru_cache(1 << 16)(lambda u: tuple(u.split(" ")))
         seen: set = set()
         for batch in batches:
             out: list[tuple[str, str, int]] = []
@@ -237,13 +238,13 @@ def suffix_pairs(units: DataFrame, level: Callable[[tuple[str, ...], tuple[str,
                     for b in members[n + 1 :]:
                         if (a, b) not in seen:
                             seen.add((a, b))
-                            if found := level(cut(a), cut(b)):
+                            if found := level(split(a), split(b)):
                                 out.append((a, b, found))
                 if len(seen) > 2_000_000:
                     seen.clear()
             yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.string()), pa.array([o[1] for o in out], pa.string()), pa.array([o[2] for o in out], pa.int32())], ["a", "b", "level"])
 
-    return lists.mapInArrow(run, "a string, b string, level int").distinct()
+    return cut(lists.mapInArrow(run, "a string, b string, level int").distinct())
 
 
 def mentions(df: DataFrame, key: str, authors: str) -> DataFrame:
@@ -256,17 +257,17 @@ def mentions(df: DataFrame, key: str, authors: str) -> DataFrame:
 def organisations(people: DataFrame) -> DataFrame:
     """``name``, ``org``: every affiliation spelling and the least spelling of its organisation."""
     said = people.select("orcid", F.explode("affiliations").alias("name")).where("trim(name) <> ''")
-    units = _tokenised(said, commas=True).persist()
+    units = _tokenised(said, commas=True)
     level = organisation_level
-    pairs = suffix_pairs(units, level).persist()
+    pairs = suffix_pairs(units, level)
     # people: of each ORCID the usual spelling, and the others it bears; a hot ORCID is reduced before anything is joined
-    borne = said.where("orcid <> ''").groupBy("orcid", "name").agg(F.count(F.lit(1)).alias("n")).join(units.select("name", "unit"), "name").groupBy("orcid", "unit").agg(F.sum("n").alias("n"))
+    borne = cut(said.where("orcid <> ''").groupBy("orcid", "name").agg(F.count(F.lit(1)).alias("n")).join(units.select("name", "unit"), "name").groupBy("orcid", "unit").agg(F.sum("n").alias("n")))
     main = borne.groupBy("orcid").agg(F.max_by("unit", F.struct("n", "unit")).alias("main"))
     stars = borne.join(main, "orcid").groupBy("unit", "main").agg(F.count(F.lit(1)).alias("both"))
     total = stars.groupBy("unit").agg(F.sum("both").alias("total"))
-    shared = stars.where("unit <> main").join(total, "unit").where("both >= 2 AND both >= 0.4 * total")
+    shared = cut(stars.where("unit <> main").join(total, "unit").where("both >= 2 AND both >= 0.4 * total"))
     # people decide only where the spellings share a word that few spellings have
-    words = units.select("unit", F.explode(F.array_distinct("tokens")).alias("word")).distinct().groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    words = units.select("unit", F.explode(F.array_distinct(F.split("unit", " "))).alias("word")).distinct().groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     spellings = units.agg(F.count_distinct("unit").alias("all"))
     few = words.join(F.broadcast(spellings), F.col("df") <= F.greatest(F.lit(3), F.col("all") * RARE)).select("word")
     met = shared.select(F.least("unit", "main").alias("a"), F.greatest("unit", "main").alias("b")).join(pairs, ["a", "b"], "left_semi")
@@ -278,7 +279,7 @@ def organisations(people: DataFrame) -> DataFrame:
     groups = components(links)
     named = units.join(groups, units.unit == groups.id, "left").select("name", F.coalesce("group", "unit").alias("group"))
     least = named.groupBy("group").agg(F.min("name").alias("org"))
-    return named.join(least, "group").select("name", "org")
+    return cut(named.join(least, "group").select("name", "org"))
 
 
 def learnt_nicknames(people: DataFrame, units: DataFrame) -> frozenset[tuple[str, str]]:
@@ -287,7 +288,7 @@ def learnt_nicknames(people: DataFrame, units: DataFrame) -> frozenset[tuple[str
     Each ORCID compares its usual name with the others it bears, so a hot one costs one row for each name.
     The pairs are bounded by the vocabulary of given names; more than ``MOST_NICKS`` raise.
     """
-    borne = people.where("orcid <> ''").groupBy("orcid", "name").agg(F.count(F.lit(1)).alias("n")).join(units, "name").groupBy("orcid", "unit").agg(F.sum("n").alias("n"))
+    borne = cut(people.where("orcid <> ''").groupBy("orcid", "name").agg(F.count(F.lit(1)).alias("n")).join(units, "name").groupBy("orcid", "unit").agg(F.sum("n").alias("n")))
     main = borne.groupBy("orcid").agg(F.max_by("unit", F.struct(F.length("unit") > 0, "n", "unit")).alias("main"))
     both = borne.join(main, "orcid").where("unit <> main").select("orcid", F.split("unit", " ").alias("x"), F.split("main", " ").alias("y"))
     differ = both.select("orcid", F.array_except("x", "y").alias("p"), F.array_except("y", "x").alias("q"), F.size(F.array_intersect("x", "y")).alias("same"))
@@ -302,20 +303,20 @@ def learnt_nicknames(people: DataFrame, units: DataFrame) -> frozenset[tuple[str
 
 def common_given(units: DataFrame) -> frozenset[str]:
     """Words that stand in at least ``GIVEN`` of all names: given names.  There are at most words-in-a-name / ``GIVEN`` of them."""
-    words = units.select("unit", F.explode(F.array_distinct("tokens")).alias("word")).distinct().groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    words = units.select("unit", F.explode(F.array_distinct(F.split("unit", " "))).alias("word")).distinct().groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     all_units = units.agg(F.count_distinct("unit").alias("all"))
     return frozenset(r.word for r in words.join(F.broadcast(all_units), F.col("n") >= F.greatest(F.lit(15), F.col("all") * GIVEN)).where("length(word) > 2").select("word").collect())
 
 
 def persons(people: DataFrame, orgs: DataFrame) -> DataFrame:
     """``name``, ``orcid``, ``org``, ``person`` of every bearer; ``person`` is an ORCID or the least bearer of its group."""
-    units = _tokenised(people, commas=False).persist()
+    units = _tokenised(people, commas=False)
     nicks = learnt_nicknames(people, units)
     given = common_given(units)
-    pairs = suffix_pairs(units, lambda a, b: person_level(a, b, nicks, given)).persist()
+    pairs = suffix_pairs(units, lambda a, b: person_level(a, b, nicks, given))
     first = people.withColumn("aff", F.coalesce(F.try_element_at("affiliations", F.lit(1)), F.lit("")))
     placed = first.join(orgs.select(F.col("name").alias("aff"), "org"), "aff", "left").withColumn("org", F.coalesce("org", F.lit("")))
-    bearers = placed.select("name", "orcid", "org").distinct().join(units.select("name", "unit"), "name").persist()
+    bearers = cut(placed.select("name", "orcid", "org").distinct().join(units.select("name", "unit"), "name"))
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "level"))
     same = units.select(F.col("unit").alias("a"), F.col("unit").alias("b")).distinct().withColumn("level", F.lit(3))
     near = both.unionByName(same)
@@ -326,8 +327,8 @@ def persons(people: DataFrame, orgs: DataFrame) -> DataFrame:
     best = fits.groupBy("a", "org", "orcid").agg(F.max("score").alias("score")).groupBy("a", "org")
     best = best.agg(F.max(F.struct("score", "orcid")).alias("top"), F.max("score").alias("high"), F.count_if(F.col("score") == 1).alias("possible"))
     # an abbreviated name without a common organisation must have one possible bearer only
-    sure = best.where("high >= 2 OR possible = 1").select("a", "org", F.col("top.orcid").alias("person"))
-    rest = loose.join(sure, ["a", "org"], "left_anti")
+    sure = cut(best.where("high >= 2 OR possible = 1").select("a", "org", F.col("top.orcid").alias("person")))
+    rest = cut(loose.join(sure, ["a", "org"], "left_anti"))
     tag = lambda u, o: F.concat_ws("\x1f", u, o)
     other = rest.select(F.col("a").alias("b"), F.col("org").alias("there"))
     edges = rest.join(near, "a").join(other, "b").where("(level >= 2 OR (org = there AND org <> '')) AND (a <> b OR org <> there)").select(tag(F.col("a"), F.col("org")).alias("x"), tag(F.col("b"), F.col("there")).alias("y"))
@@ -335,7 +336,7 @@ def persons(people: DataFrame, orgs: DataFrame) -> DataFrame:
     own = tag(F.col("unit"), F.col("org"))
     with_id = bearers.where("orcid <> ''").select("name", "orcid", "org", F.col("orcid").alias("person"))
     without = bearers.where("orcid = ''").join(sure.withColumnRenamed("a", "unit"), ["unit", "org"], "left").withColumn("own", own).join(groups.withColumnRenamed("id", "own"), "own", "left")
-    return with_id.unionByName(without.select("name", "orcid", "org", F.coalesce("person", "group", "own").alias("person")))
+    return cut(with_id.unionByName(without.select("name", "orcid", "org", F.coalesce("person", "group", "own").alias("person"))))
 
 
 def _pairs_of(members: DataFrame, group: str, name: str) -> DataFrame:
@@ -347,18 +348,18 @@ def _pairs_of(members: DataFrame, group: str, name: str) -> DataFrame:
 
 def name_pairs(df: DataFrame, key: str, authors: str) -> DataFrame:
     """``kind``, ``name_a`` < ``name_b``: every two spellings one person, or one organisation, bears."""
-    people = mentions(df, key, authors).persist()
-    orgs = organisations(people).persist()
+    people = cut(mentions(df, key, authors))
+    orgs = organisations(people)
     who = persons(people, orgs)
     kinds: list[tuple[str, DataFrame, str]] = [("person", who, "person"), ("organisation", orgs, "org")]
     parts = [_pairs_of(rows, group, "name").withColumn("kind", F.lit(kind)) for kind, rows, group in kinds]
-    return parts[0].unionByName(parts[1]).select("kind", "name_a", "name_b").distinct()
+    return parts[0].distinct().unionByName(parts[1].distinct()).select("kind", "name_a", "name_b")
 
 
 def author_persons(df: DataFrame, key: str, authors: str) -> DataFrame:
     """``key``, ``person`` of every author of every record, once each."""
-    people = mentions(df, key, authors).persist()
-    orgs = organisations(people).persist()
+    people = cut(mentions(df, key, authors))
+    orgs = organisations(people)
     who = persons(people, orgs)
     aff: Column = F.coalesce(F.try_element_at("affiliations", F.lit(1)), F.lit(""))
     placed = people.withColumn("aff", aff).join(orgs.select(F.col("name").alias("aff"), "org"), "aff", "left").withColumn("org", F.coalesce("org", F.lit("")))

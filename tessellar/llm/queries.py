@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from tessellar.llm.lookalike import form_rows, lookalike_pairs
 from tessellar.llm.mojibake import repair_texts
-from tessellar.llm.names import mentions, name_pairs, organisations
-from tessellar.llm.versions import groups, same_text_pairs
+from tessellar.llm.forest import cut
+from tessellar.llm.grouped import grouped_split, related_pairs, relations
+from tessellar.llm.names import author_persons, mentions, name_pairs, organisations
+from tessellar.llm.passages import cross_split
+from tessellar.llm.preprints import same_preprint, survivors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -55,21 +58,56 @@ def p3_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_texts(read(spark, sf_dir, "hf_dataset"), "ppr_id", "xml")
 
 
+def _related(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = read(spark, sf_dir, "hf_dataset")
+    return cut(relations(author_persons(df, "ppr_id", "authors"), same_preprint(df, "ppr_id", "xml"), "ppr_id"))
+
+
+@query()
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that list one person or are of one preprint, in pairs."""
+    return related_pairs(_related(spark, sf_dir)).select(F.col("a").alias("ppr_id_a"), F.col("b").alias("ppr_id_b"))
+
+
+@query()
+def p4_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A split for every record, related records together."""
+    keys = read(spark, sf_dir, "hf_dataset").select(F.col("ppr_id").alias("k"))
+    return grouped_split(keys, _related(spark, sf_dir)).select(F.col("k").alias("ppr_id"), F.col("group").alias("group_ppr_id"), "split")
+
+
+def _overlapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    splits = read(spark, sf_dir, "split_assignments").select(F.col("ppr_id").alias("k"), (F.col("split") == "train").alias("train")).distinct()
+    return cut(cross_split(read(spark, sf_dir, "hf_dataset"), "ppr_id", "xml", splits))
+
+
 @query()
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two records of one preprint, one of them in train, the other in val or test."""
-    group = groups(same_text_pairs(read(spark, sf_dir, "hf_dataset"), "ppr_id", "xml"))
-    split = read(spark, sf_dir, "split_assignments").select("ppr_id", (F.col("split") == "train").alias("train")).distinct()
-    placed = group.join(split, group.id == split.ppr_id).select("group", "ppr_id", "train")
-    pairs = placed.where("train").alias("t").join(placed.where("NOT train").alias("h"), "group")
-    return pairs.select(F.least("t.ppr_id", "h.ppr_id").alias("ppr_id_a"), F.greatest("t.ppr_id", "h.ppr_id").alias("ppr_id_b"))
+    rows = _overlapping(spark, sf_dir)
+    train, held = (rows.where(F.col("train") == t).select("group", F.col("id").alias(n)) for t, n in ((True, "t"), (False, "e")))
+    return train.join(held, "group").where("t <> e").select(F.least("t", "e").alias("ppr_id_a"), F.greatest("t", "e").alias("ppr_id_b")).distinct()
+
+
+@query()
+def p5_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that overlap with the other side, by split and by batch file they come from."""
+    rows = _overlapping(spark, sf_dir).select(F.col("id").alias("ppr_id")).distinct()
+    named = read(spark, sf_dir, "split_assignments").distinct().join(rows, "ppr_id").join(read(spark, sf_dir, "hf_dataset").select("ppr_id", "xml_source_url"), "ppr_id")
+    return named.groupBy("split", F.col("xml_source_url").alias("source")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query()
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every record that shares its preprint with another, and the smallest record of its group."""
-    group = groups(same_text_pairs(read(spark, sf_dir, "hf_dataset"), "ppr_id", "xml"))
-    return group.select(F.col("id").alias("ppr_id"), F.col("group").alias("group_ppr_id"))
+    return same_preprint(read(spark, sf_dir, "hf_dataset"), "ppr_id", "xml").select(F.col("id").alias("ppr_id"), F.col("group").alias("group_ppr_id"))
+
+
+@query()
+def p6_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The surviving record of every preprint with several records, built field by field."""
+    df = read(spark, sf_dir, "hf_dataset")
+    return survivors(df, "ppr_id", same_preprint(df, "ppr_id", "xml")).withColumnRenamed("group", "group_ppr_id")
 
 
 @query()
