@@ -195,7 +195,7 @@ def survivors(df: DataFrame, key: str, groups: DataFrame) -> DataFrame:
     Fields nobody states are null or empty.
     """
     values = judged(df, key, groups)
-    form = F.struct(F.round("truth", 6), (~F.col("value").contains("\ufffd")).alias("whole"), (F.col("value") != F.upper("value")).alias("mixed"), "said", F.length("value").alias("length"), "value")
+    form = F.struct(F.round("truth", 6), (~F.col("value").contains("\ufffd")).alias("whole"), (F.col("value") != F.upper("value")).alias("mixed"), F.coalesce(F.col("value") == plain_doi(F.col("value")), F.lit(False)).alias("plain"), "said", F.length("value").alias("length"), "value")
     best = values.where(F.col("field").isin(*SINGLE)).groupBy("group", "field").agg(F.max_by("value", form).alias("value"))
     single = best.groupBy("group").pivot("field", list(SINGLE)).agg(F.first("value"))
     sure = values.where(F.col("field").isin(*SEVERAL)).where("truth >= 0.5").groupBy("group", "field", "claim").agg(F.max_by("value", form).alias("value"))
