@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessellar.llm.lookalike import form_rows, lookalike_pairs
+from tessellar.llm.language import fitted, languages, mislabelled, segments
+from tessellar.llm.lookalike import forms, lookalike_pairs
+from tessellar.llm.mixing import mix, shares
 from tessellar.llm.mojibake import repair_texts
 from tessellar.llm.forest import cut
 from tessellar.llm.grouped import grouped_split, related_pairs, relations
 from tessellar.llm.names import author_persons, mentions, name_pairs, organisations
+from tessellar.llm.packing import filling, packed
 from tessellar.llm.passages import cross_split
 from tessellar.llm.preprints import same_preprint, survivors
+from tessellar.llm.sizes import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,6 +38,30 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _told(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = read(spark, sf_dir, "hf_dataset")
+    return languages(df, "ppr_id", "xml", fitted(df, "ppr_id", "xml", "language"), "language")
+
+
+@query()
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose label is not their language, and paragraphs in another language than their record."""
+    return mislabelled(_told(spark, sf_dir)).select("ppr_id", "para_no", "lang")
+
+
+@query()
+def p1_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language and confidence of every record (0) and body paragraph."""
+    return _told(spark, sf_dir).select("ppr_id", "para_no", "lang", "confidence")
+
+
+@query()
+def p1_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language and confidence of every run of sentences of one language in every document."""
+    df = read(spark, sf_dir, "hf_dataset")
+    return segments(read(spark, sf_dir, "documents"), "doc_id", "text", fitted(df, "ppr_id", "xml", "language"))
+
+
 @query()
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spellings of one person or one organisation, in pairs."""
@@ -110,6 +138,51 @@ def p6_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survivors(df, "ppr_id", same_preprint(df, "ppr_id", "xml")).withColumnRenamed("group", "group_ppr_id")
 
 
+def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sized = token_counts(read(spark, sf_dir, "documents"), "doc_id", "text")
+    kinds = read(spark, sf_dir, "container_kinds").select(F.col("container_kind").alias("kind"), F.col("capacity_tokens").alias("capacity"))
+    return packed(sized, kinds, "doc_id", "tokens")
+
+
+@query()
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The container of every document, or piece of a document longer than the capacity, for every kind."""
+    return _packed(spark, sf_dir).select(F.col("kind").alias("container_kind"), "container", "doc_id", "piece", "tokens")
+
+
+@query()
+def p8_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containers of every kind, and how full they are."""
+    return filling(_packed(spark, sf_dir)).withColumnRenamed("kind", "container_kind")
+
+
+def _mixed(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    targets = read(spark, sf_dir, "source_targets")
+    listed = docs.join(targets.select("source"), "source", "left_semi")
+    sized = token_counts(listed, "doc_id", "text").join(listed.select("doc_id", "source"), "doc_id")
+    sized = cut(sized)
+    return mix(sized, targets, "doc_id", sized.agg(F.sum("tokens")).first()[0] or 0 if whole else None)
+
+
+@query()
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix in order: every use of a document, up to the budget."""
+    return _mixed(spark, sf_dir)
+
+
+@query()
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and actual share of every source."""
+    return shares(_mixed(spark, sf_dir), read(spark, sf_dir, "source_targets"))
+
+
+@query()
+def p9_whole_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Actual shares of a mix as large as all listed sources together, where small sources run out."""
+    return shares(_mixed(spark, sf_dir, whole=True), read(spark, sf_dir, "source_targets"))
+
+
 @query()
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that look the same but differ in characters."""
@@ -119,4 +192,4 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def p10_form(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text in one consistent form."""
-    return form_rows(read(spark, sf_dir, "documents"), "doc_id", "text").select("doc_id", "form")
+    return forms(read(spark, sf_dir, "documents"), "doc_id", "text")
