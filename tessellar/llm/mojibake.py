@@ -33,10 +33,6 @@ SINGLE_BYTE_PAGES = ("cp1252", "mac_roman", "cp850", "cp437", "cp1250", "cp1251"
 WESTERN_LETTERS = "áàâãäåæçéèêëíìîïñóòôõöøœúùûüýÿßÁÀÂÃÄÅÆÇÉÈÊËÍÌÎÏÑÓÒÔÕÖØŒÚÙÛÜÝŸ"
 #: Letters of those languages as they occur in running text; a swap must end in these.
 COMMON_LETTERS = "áàâãäçéèêëíîïñóôõöúùûüßœÁÀÂÃÄÇÉÈÊÍÎÑÓÔÕÖÚÛÜ"
-#: Signs beyond ASCII that stand between words or beside figures in clean text.
-PLAIN_SIGNS = " ¡¢£¥§©ª«®°±²³µ¶·¹º»¼½¾¿×÷–—‘’“”„…•†€™≤≥≈−  ​﻿"
-
-
 def _page_bytes(page: str) -> dict[str, int]:
     """Character to byte, for the bytes from 0x80; undefined bytes stand for themselves."""
     table: dict[str, int] = {}
@@ -45,8 +41,9 @@ def _page_bytes(page: str) -> dict[str, int]:
             table[bytes([byte]).decode(page)] = byte
         except UnicodeDecodeError:
             pass
-    for byte in range(0x80, 0x100):
-        table.setdefault(chr(byte), byte) if page in ("cp1252", "cp1250", "cp1251", "cp1254") and (byte < 0xA0 or page == "cp1252") else None
+    if page in ("cp1252", "cp1250", "cp1251", "cp1254"):
+        for byte in range(0x80, 0x100 if page == "cp1252" else 0xA0):
+            table.setdefault(chr(byte), byte)
     return table
 
 
@@ -228,15 +225,20 @@ def _lost(text: str) -> bool:
     return "�" in text or any(_LOSS.search(text[max(0, m.start() - 3) : m.end() + 80]) for m in _MARKS.finditer(text))
 
 
-_URL = re.compile(r"https?://\S+|\b10\.\d{4,}/\S+")
+_URL = re.compile(r"https?://[^\s<>\"']+|\b10\.\d{4,}/[^\s<>\"']+")
 
 
 def swap_pages(text: str) -> tuple[str, str] | None:
     """(wrong page, true page) that mends nearly every odd character of the damaged words."""
     odd: dict[str, int] = {}
-    for m in _DAMAGE.finditer(text):
-        for c in _word_at(text, m.start(), m.end()):
+    for m in _WORDS.finditer(text):  # each word once, so unspaced text costs no more than spaced
+        hits = sum(1 for _ in _DAMAGE.finditer(m.group()))
+        for c in m.group() if hits else ():
             if ord(c) > 0x7E and c not in COMMON_LETTERS and c not in "–—’“”«»±":
+                odd[c] = odd.get(c, 0) + hits
+    for m in _DEGREES.finditer(text):
+        for c in m.group():
+            if ord(c) > 0x7E and c not in COMMON_LETTERS:
                 odd[c] = odd.get(c, 0) + 1
     total = sum(odd.values())
     best, most = None, (0.0, 0)
@@ -263,12 +265,25 @@ _SWAP_BYTES = {p: _page_bytes(p) for p in SINGLE_BYTE_PAGES}
 _SWAP_CHARS = {p: {b: c for c, b in t.items()} for p, t in _SWAP_BYTES.items()}
 
 
-def _word_at(text: str, a: int, b: int) -> str:
-    while a and not text[a - 1].isspace() and text[a - 1] not in "<>":
-        a -= 1
-    while b < len(text) and not text[b].isspace() and text[b] not in "<>":
-        b += 1
-    return text[a:b]
+_WORDS = re.compile(r"[^ \t\r\n<>]+")  # a no-break space may be a spoilt letter
+#: The one damage that lies between words: a temperature's sign.
+_DEGREES = re.compile("[0-9] [^\x00-\x7e°º\xa0]C\\b")
+def _reread(text: str, pages: tuple[str, str]) -> str:
+    """Spoilt words read in the true page.
+
+    A word that shows no damage is read anew only if that makes no capital of a small letter and no
+    damage: 'saœde' gives 'saúde', but 'média' stays, which would give 'mÚdia'.
+    """
+
+    def word(m: re.Match[str]) -> str:
+        old = m.group()
+        new = swap_read(old, pages)
+        if old == new or _DAMAGE.search(old):
+            return new
+        worse = any(a.islower() and b.isupper() and (n or len(old) == 1 or a not in "çœµßÿø") for n, (a, b) in enumerate(zip(old, new, strict=True))) or _DAMAGE.search(new)
+        return old if worse else new
+
+    return _WORDS.sub(word, text)
 
 
 def repair(text: str | None) -> tuple[str | None, str]:
@@ -293,7 +308,7 @@ def repair(text: str | None) -> tuple[str | None, str]:
             kinds.append("swap")
             pages = swap_pages(now)
             pieces = re.split("(<[^>]*>)", now)  # only the spoilt elements are read anew
-            now = "".join(swap_read(p, own) if p and p[0] != "<" and _DAMAGE.search(p) and (own := pages or swap_pages(p)) else p for p in pieces)
+            now = "".join(_reread(p, own) if p and p[0] != "<" and _DAMAGE.search(p) and (own := pages or swap_pages(p)) else p for p in pieces)
             plain = _URL.sub(" ", now)
         if _quiet(plain):
             if "swap" not in kinds:
