@@ -25,7 +25,7 @@ SHAPES = (
     ("АВЕКМНОРСТУХЅІЈԚԜҮӀԌ", "ABEKMHOPCTYXSIJQWYIG"),
     ("аеорсухѕіјԛԝһԁүѵӏ", "aeopcyxsijqwhdyvl"),
     ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹͿ", "ABEZHIKMNOPTYXCJ"),
-    ("ανορϲϳ", "avopcj"),
+    ("νορϲϳ", "vopcj"),
     ("ՕօՏսհցո", "OoSuhgn"),
     ("ɑɡ", "ag"),
 )
