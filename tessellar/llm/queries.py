@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessellar.llm.language import fitted, languages, mislabelled, segments
-from tessellar.llm.lookalike import forms, lookalike_pairs
+from tessellar.llm.lookalike import form_sql, forms, lookalike_pairs
 from tessellar.llm.mixing import mix, shares
 from tessellar.llm.mojibake import repair_texts
 from tessellar.llm.forest import cut
@@ -183,13 +183,16 @@ def p9_whole_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shares(_mixed(spark, sf_dir, whole=True), read(spark, sf_dir, "source_targets"))
 
 
-@query()
+@query(
+    f"""WITH f AS (SELECT doc_id, text, {form_sql('text')} AS form FROM documents WHERE text IS NOT NULL)
+SELECT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM f a JOIN f b ON a.form = b.form AND a.doc_id < b.doc_id AND a.text <> b.text"""
+)
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that look the same but differ in characters."""
     return lookalike_pairs(read(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-@query()
+@query(f"SELECT doc_id, {form_sql('text')} AS form FROM documents WHERE text IS NOT NULL")
 def p10_form(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text in one consistent form."""
     return forms(read(spark, sf_dir, "documents"), "doc_id", "text")
