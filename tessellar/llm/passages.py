@@ -31,7 +31,7 @@ SHORT = 8
 LETTERS = 12
 #: Records bearing a passage from which the prefix filter applies to it.
 COMMON = 20
-#: Passages in one automaton (about 40 MB).
+#: Passages in one automaton (about 60 MB).
 SHARD = 100_000
 #: Records per Arrow slice.
 SLICE = 500
@@ -129,35 +129,40 @@ def matches(evaluation: DataFrame, training: DataFrame, shard_size: int = SHARD)
     only, so the work grows with the text, not with shards times texts.  In a shard the distinct passages
     become one automaton, past which the texts stream; both sides hold classes (``rep``, ``said``).
     """
-    symbol = lambda c: F.pmod(c, F.lit((1 << 31) - 1)) + 1
+    symbol = lambda c: F.pmod(c, F.lit((1 << 31) - 1)).cast("int")
     pairs = F.transform(F.sequence(F.lit(1), F.size("b") - 1), lambda n: F.struct(F.get("b", n - 1).alias("x"), F.get("b", n).alias("y")))
-    said = evaluation.select(_begun().alias("b")).where("size(b) > 1").select(F.explode(pairs).alias("p")).select("p.x", "p.y").distinct()
+    said = cut(evaluation.select(_begun().alias("b")).where("size(b) > 1").select(F.explode(pairs).alias("p")).select("p.x", "p.y").distinct())
     shards = max(1, -(-said.count() // shard_size))
     shard = lambda c: F.pmod(F.xxhash64(c), F.lit(shards)).cast("int")
     kind = training.schema["rep"].dataType.simpleString()
-    patterns = said.select(shard(F.col("x")).alias("shard"), F.lit(False).alias("text"), F.lit(None).cast(kind).alias("rep"), F.array(symbol(F.col("x")), symbol(F.col("y")), F.xxhash64("x", "y")).alias("symbols"))
+    patterns = said.select(shard(F.col("x")).alias("shard"), F.lit(False).alias("text"), F.lit(None).cast(kind).alias("rep"), F.array(symbol(F.col("x")), symbol(F.col("y"))).alias("symbols"), F.xxhash64("x", "y").alias("mark"))
     texts = training.select("rep", _begun().alias("b")).where("size(b) > 1")
-    sent = texts.select("rep", F.explode(F.array_distinct(F.transform("b", shard))).alias("shard"), F.transform("b", symbol).alias("symbols")).select("shard", F.lit(True).alias("text"), "rep", "symbols")
+    sent = texts.select("rep", F.explode(F.array_distinct(F.transform("b", shard))).alias("shard"), F.transform("b", symbol).alias("symbols")).select("shard", F.lit(True).alias("text"), "rep", "symbols", F.lit(None).cast("bigint").alias("mark"))
     both = patterns.unionByName(sent).repartition("shard").sortWithinPartitions("shard", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a symbol is written as four characters below 256, so that no node of an automaton has more branches
         at, automaton, waiting = None, None, {}
         for batch in batches:
             rows, marks = [], []
-            for n, (shard_no, is_text, symbols) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+            lists = batch.column(3)
+            starts = lists.offsets.to_numpy()
+            written = lists.values.to_numpy(zero_copy_only=False).astype(">u4").tobytes().decode("latin-1")
+            for n, (shard_no, is_text, mark) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(4).to_pylist(), strict=True)):
                 if shard_no != at:
                     at, automaton, waiting = shard_no, None, {}
+                symbols = written[4 * starts[n] : 4 * starts[n + 1]]
                 if not is_text:
-                    waiting[symbols[0], symbols[1]] = symbols[2]
+                    waiting[symbols] = mark
                     continue
                 if waiting:
-                    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-                    for passage, mark in waiting.items():
-                        automaton.add_word(passage, mark)
+                    automaton = ahocorasick.Automaton()
+                    for passage, value in waiting.items():
+                        automaton.add_word(passage, value)
                     automaton.make_automaton()
                     waiting = {}
                 if automaton is not None:
-                    found = {mark for _, mark in automaton.iter(tuple(symbols))}
+                    found = {value for end, value in automaton.iter(symbols) if end % 4 == 3}
                     rows.extend([n] * len(found))
                     marks.extend(found)
             yield pa.RecordBatch.from_arrays([batch.column(2).take(pa.array(rows, pa.int32())), pa.array(marks, pa.int64())], ["rep", "mark"])
