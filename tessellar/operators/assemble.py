@@ -59,7 +59,7 @@ def missing_files(splits: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def with_files(splits: DataFrame, files: DataFrame, strict: bool = True) -> DataFrame:
-    """Split rows with ``xml`` (line ends unified) and ``pdf``.
+    """Split rows with ``xml`` (line ends unified) and ``pdf``, which take the place of columns so named.
 
     ``strict`` looks for missing documents before anything is written and raises naming some of them;
     otherwise rows without a document are left out.
@@ -67,4 +67,4 @@ def with_files(splits: DataFrame, files: DataFrame, strict: bool = True) -> Data
     if strict and (lost := missing_files(splits, files).orderBy("ppr_id").limit(5).collect()):
         raise FileNotFoundError("documents not found: " + ", ".join(str(r.ppr_id) for r in lost))
     held = files.select("ppr_id", unix_newlines(F.col("xml")).alias("xml"), "pdf").where(F.col("xml").isNotNull() & F.col("pdf").isNotNull())
-    return splits.join(held, "ppr_id")
+    return splits.drop("xml", "pdf").join(held, "ppr_id")
