@@ -147,7 +147,7 @@ SEVERAL = ("keywords", "author_names")
 
 def _claims(df: DataFrame, key: str, groups: DataFrame) -> DataFrame:
     """``group``, ``field``, ``value``, ``source``, ``k`` of every value a grouped record states."""
-    rows = df.select("*", F.transform("authors", lambda a: a["name"]).alias("author_names")).join(groups.select(F.col("id").alias(key), "group"), key)
+    rows = df.select(key, *SINGLE, "keywords", "xml_source_url", F.transform("authors", lambda a: a["name"]).alias("author_names")).join(groups.select(F.col("id").alias(key), "group"), key)
     source = F.coalesce(F.nullif(F.regexp_extract("doi", r"(10\.\d{4,})", 1), F.lit("")), F.lit("none"))
     source = F.concat_ws("|", source, F.coalesce(F.nullif(F.col("xml_source_url"), F.lit("")), F.lit("none")))
     single = F.array(*[F.struct(F.lit(c).alias("field"), F.array(F.col(c)).alias("values")) for c in SINGLE])
