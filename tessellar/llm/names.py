@@ -1,10 +1,9 @@
 """Variant spellings of names: which strings mean the same person or the same organisation.
 
 Suffix blocking.  Every name is mended, folded and cut into tokens; each suffix of a token from
-``SHORTEST`` letters is an index key.  Keys borne by more than ``COMMON`` names are refined by the
-first letter of another token, and those still too common, where the suffix is a whole token, by the
-first three letters of another one; a shorter suffix is left only then, as the whole token it ends has
-been refined.  Groups of the last refinement are compared whole, in blocks, however large they are.
+``SHORTEST`` letters (less in short tokens) and each whole token is an index key.  Keys borne by more than ``COMMON`` names are refined by the first
+three letters of another token, whole tokens also by the first letter where one name has an initial only.
+Groups of the refinement are compared whole, in blocks, however large they are; none is left out.
 Pairs are compared token by token by the ratio of their longest common subsequence.
 
 Strings alone do not tell which of several possible bearers an abbreviated name means, so persons are
@@ -29,8 +28,8 @@ from pyspark.sql import functions as F
 from tessellar.llm.forest import components, cut
 from tessellar.llm.mojibake import repair
 
-#: Shortest suffix indexed, names a key may have before it is refined, and names compared in one block.
-SHORTEST, COMMON, BLOCK = 4, 50, 200
+#: Shortest suffix indexed (whole tokens from WORD letters are always), names a key may have before it is refined, and names compared in one block.
+SHORTEST, WORD, COMMON, BLOCK = 6, 3, 20, 200
 #: Ratio of the longest common subsequence from which two tokens are spellings of one.
 ALIKE = 0.75
 #: Share of all names from which a word is a common given name.
@@ -193,56 +192,89 @@ def _tokenised(strings: DataFrame, commas: bool) -> DataFrame:
     return cut(strings.select("name").distinct().mapInArrow(run, "name string, unit string").where("unit <> ''"))
 
 
-def suffix_pairs(units: DataFrame, level: Callable[[tuple[str, ...], tuple[str, ...]], int], shortest: int = SHORTEST, common: int = COMMON, block: int = BLOCK) -> DataFrame:
-    """``a`` < ``b``, ``level`` > 0 of all pairs of ``unit`` that share an index key and are alike."""
+def touching(a: tuple[str, ...], b: tuple[str, ...]) -> bool:
+    """Whether any two tokens are alike; one letter apart leaves nearly a half of both as it is, at the beginning or at the end."""
+    for t in a:
+        n = len(t)
+        for x in b:
+            if t == x:
+                return True
+            m = len(x)
+            if -2 < n - m < 2:
+                k = (min(n, m) - 2) // 2 or 1
+                if (t[:k] == x[:k] or t[-k:] == x[-k:] or "*" in t or "*" in x) and alike(t, x):
+                    return True
+            elif -3 < n - m < 3 and ("*" in t or "*" in x) and alike(t, x):
+                return True
+    return False
+
+
+def suffix_pairs(
+    units: DataFrame,
+    level: Callable[[tuple[str, ...], tuple[str, ...]], int],
+    telling: Callable[[tuple[str, ...]], tuple[str, ...]] = lambda tokens: tokens,
+    shortest: int = SHORTEST,
+    common: int = COMMON,
+    block: int = BLOCK,
+) -> DataFrame:
+    """``a`` < ``b``, ``level`` > 0 of all pairs of ``unit`` that share an index key and are alike.
+
+    Names are compared in full only if two of their ``telling`` tokens are alike.
+    """
     one = cut(units.select("unit").distinct().withColumn("uid", F.xxhash64("unit")))
-    long = one.select("uid", F.posexplode(F.split("unit", " ")).alias("place", "token")).where(F.length("token") >= shortest)
-    index = long.select("uid", "place", "token", F.explode(F.sequence(F.lit(1), F.length("token") - (shortest - 1))).alias("at")).select(
+    long = one.select("uid", F.posexplode(F.split("unit", " ")).alias("place", "token")).where(F.length("token") >= WORD)
+    # short tokens lose up to two letters
+    least = F.least(F.lit(shortest), F.greatest(F.lit(4), F.length("token") - 2))
+    index = long.select("uid", "place", "token", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("token") - least + 1))).alias("at")).select(
         "uid", "place", F.xxhash64(F.expr("substring(token, at)")).alias("suffix"), F.expr("CASE WHEN at = 1 THEN '' ELSE substring(token, at - 1, 1) END").alias("before")
     )
     # a suffix that all its names continue by the same letter has the very names of the longer one
     counted = index.groupBy("suffix").agg(F.count(F.lit(1)).alias("n"), F.min("before").alias("x"), F.max("before").alias("y")).where("n > 1 AND (x <> y OR x = '')").select("suffix", "n")
     known = index.join(counted, "suffix").select("uid", "place", "suffix", "n", (F.col("before") == "").alias("whole"))
     known = cut(known.join(one, "uid").select("suffix", "n", "whole", "place", "unit"))
-    first = known.where(F.col("n") <= common).select(F.col("suffix").alias("key"), "unit", F.lit(0).alias("cell"))
-
-    def refined(rows: DataFrame, letters: int) -> DataFrame:
-        tokens_ = F.split("unit", " ")
-        starts = F.array_distinct(F.transform(F.array_except(tokens_, F.array(F.get(tokens_, "place"))), lambda t: F.substring(t, 1, letters)))
-        return rows.select("unit", "place", "suffix", "whole", F.explode(starts).alias("start")).withColumn("key", F.xxhash64("suffix", "start"))
-
-    def sized(rows: DataFrame) -> DataFrame:
-        sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-        return rows.join(sizes, "key")
-
-    second = cut(sized(refined(known.where(F.col("n") > common), 1)).select("key", "unit", "place", "suffix", "whole", "m"))
-    third = sized(refined(second.where((F.col("m") > common) & F.col("whole")).select("unit", "place", "suffix", "whole").distinct(), 3))
-    # a large group is cut into blocks; a pair of blocks is one task's row, so no group is held whole
+    # a common suffix is refined by the first letters of another token: three, or one where a name has an initial only
+    tokens_ = F.split("unit", " ")
+    others = F.array_except(tokens_, F.array(F.get(tokens_, "place")))
+    hot = known.where(F.col("n") > common).withColumn("others", others)
+    three = hot.select("unit", F.explode(F.array_distinct(F.transform("others", lambda t: F.substring(t, 1, 3)))).alias("start"), "suffix", F.lit(False).alias("brief"))
+    initial = hot.where("whole").select("unit", F.explode(F.array_distinct(F.transform("others", lambda t: F.substring(t, 1, 1)))).alias("start"), "suffix", F.lit(True).alias("brief"))
+    refined = three.unionByName(initial).select(F.xxhash64("suffix", "start", "brief").alias("key"), "unit", "brief")
+    sizes = refined.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    second = refined.join(sizes, "key")
+    # a large group is cut into blocks; a pair of blocks is one row, so no group is held whole
     blocks = F.ceil(F.col("m") / block).cast("int")
     own = F.pmod(F.xxhash64("unit"), blocks).cast("int")
-    spread = third.select("key", "unit", own.alias("own"), blocks.alias("blocks"))
+    spread = second.select("key", "unit", "brief", own.alias("own"), blocks.alias("blocks"))
     cells = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.least(o, F.col("own")) * F.col("blocks") + F.greatest(o, F.col("own")))
-    last = spread.select("key", "unit", F.explode(cells).alias("cell"))
-    groups = first.unionByName(second.where(F.col("m") <= common).select("key", "unit", F.lit(0).alias("cell"))).unionByName(last)
+    last = spread.select("key", "unit", F.explode(cells).alias("cell"), "brief")
+    groups = known.where(F.col("n") <= common).select(F.col("suffix").alias("key"), "unit", F.lit(0).alias("cell"), F.lit(False).alias("brief")).unionByName(last)
     # at most 2 x BLOCK names, by the bounds above (hashing may exceed it a little)
-    lists = groups.groupBy("key", "cell").agg(F.collect_set("unit").alias("units")).where("size(units) > 1").select("units")
+    lists = groups.groupBy("key", "cell", "brief").agg(F.collect_set("unit").alias("units")).where("size(units) > 1").select("units", "brief")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = lru_cache(1 << 16)(lambda u: tuple(u.split(" ")))
-        seen: set = set()
+        cut_up: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {}
+
+        def split(u: str) -> tuple[tuple[str, ...], tuple[str, ...]]:
+            if (got := cut_up.get(u)) is None:
+                if len(cut_up) > 100_000:
+                    cut_up.clear()
+                words = tuple(u.split(" "))
+                got = cut_up[u] = (words, telling(words))
+            return got
+
         for batch in batches:
-            out: list[tuple[str, str, int]] = []
-            for members in batch.column(0).to_pylist():
-                members.sort()
-                for n, a in enumerate(members):
-                    for b in members[n + 1 :]:
-                        if (a, b) not in seen:
-                            seen.add((a, b))
-                            if found := level(split(a), split(b)):
-                                out.append((a, b, found))
-                if len(seen) > 2_000_000:
-                    seen.clear()
-            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.string()), pa.array([o[1] for o in out], pa.string()), pa.array([o[2] for o in out], pa.int32())], ["a", "b", "level"])
+            out: dict[tuple[str, str], int] = {}
+            for members, brief in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                parts = [(u, *split(u)) for u in sorted(members)]
+                for n, (a, words, told) in enumerate(parts):
+                    short = brief and any(len(t) <= 2 for t in words)
+                    for b, others, also in parts[n + 1 :]:
+                        # names without an initial meet by three letters
+                        if brief and not short and not any(len(t) <= 2 for t in others):
+                            continue
+                        if touching(told, also) and (a, b) not in out and (found := level(words, others)):
+                            out[a, b] = found
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.string()), pa.array([b for _, b in out], pa.string()), pa.array(list(out.values()), pa.int32())], ["a", "b", "level"])
 
     return cut(lists.mapInArrow(run, "a string, b string, level int").distinct())
 
@@ -258,8 +290,7 @@ def organisations(people: DataFrame) -> DataFrame:
     """``name``, ``org``: every affiliation spelling and the least spelling of its organisation."""
     said = people.select("orcid", F.explode("affiliations").alias("name")).where("trim(name) <> ''")
     units = _tokenised(said, commas=True)
-    level = organisation_level
-    pairs = suffix_pairs(units, level)
+    pairs = suffix_pairs(units, organisation_level, lambda words: tuple(t for t in words if len(t) > 4))
     # people: of each ORCID the usual spelling, and the others it bears; a hot ORCID is reduced before anything is joined
     borne = cut(said.where("orcid <> ''").groupBy("orcid", "name").agg(F.count(F.lit(1)).alias("n")).join(units.select("name", "unit"), "name").groupBy("orcid", "unit").agg(F.sum("n").alias("n")))
     main = borne.groupBy("orcid").agg(F.max_by("unit", F.struct("n", "unit")).alias("main"))
@@ -313,7 +344,7 @@ def persons(people: DataFrame, orgs: DataFrame) -> DataFrame:
     units = _tokenised(people, commas=False)
     nicks = learnt_nicknames(people, units)
     given = common_given(units)
-    pairs = suffix_pairs(units, lambda a, b: person_level(a, b, nicks, given))
+    pairs = suffix_pairs(units, lambda a, b: person_level(a, b, nicks, given), lambda words: tuple(t for t in words if len(t) > 3 and t not in given))
     first = people.withColumn("aff", F.coalesce(F.try_element_at("affiliations", F.lit(1)), F.lit("")))
     placed = first.join(orgs.select(F.col("name").alias("aff"), "org"), "aff", "left").withColumn("org", F.coalesce("org", F.lit("")))
     bearers = cut(placed.select("name", "orcid", "org").distinct().join(units.select("name", "unit"), "name"))
