@@ -76,3 +76,8 @@ def read_parquets(spark: SparkSession, folder: str) -> DataFrame:
     """All Parquet files of a folder as one table, columns united by name, and ``file_split``, the name before its first '-'."""
     df = spark.read.option("mergeSchema", True).option("pathGlobFilter", "*.parquet").parquet(folder)
     return df.withColumn("file_split", F.split_part(F.col("_metadata.file_name"), F.lit("-"), F.lit(1)))
+
+
+def sorted_paths(spark: SparkSession, folder: str, glob: str = "PPR*.xml") -> DataFrame:
+    """``path`` of each file in a folder, by code point; contents are not read."""
+    return _documents(spark, folder, glob).select("path").orderBy("path")

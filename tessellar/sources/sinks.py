@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import os
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,3 +50,28 @@ def write_sidecars(df: DataFrame, path: str) -> None:
     """Provenance rows as one JSON object a line; rows without any value are not written."""
     fields = [F.col(f) for f in schemas.PROVENANCE_FIELDS]
     df.where(F.coalesce(*[c.isNotNull() & F.lit(True) for c in fields]) & F.greatest(*[c.isNotNull().cast("int") for c in fields]).cast("boolean")).write.mode("overwrite").json(path)
+
+
+def write_documents(df: DataFrame, folder: str) -> None:
+    """Files of articles in a folder all tasks can write to: 'PPR<number>' and '.xml', '.xml.original', '.pdf', '.provenance.json'.
+
+    ``df`` holds ``ppr_id`` (a number) and any of ``xml``, ``xml_original``, ``pdf`` and the provenance fields; nulls
+    write nothing.  A file is written under another name and renamed, so a repeated task leaves no half of one.
+    """
+    held = set(df.columns)
+    kinds = [(c, s) for c, s in (("xml_original", ".xml.original"), ("xml", ".xml"), ("pdf", ".pdf")) if c in held]
+    fields = [f for f in schemas.PROVENANCE_FIELDS if f in held]
+
+    def put(rows) -> None:
+        os.makedirs(folder, exist_ok=True)
+        for r in rows:
+            known = {f: r[f] for f in fields if r[f] is not None}
+            texts = [(s, r[c]) for c, s in kinds if r[c] is not None] + [(".provenance.json", json.dumps(known, indent=2))] * bool(known)
+            for suffix, value in texts:
+                path = os.path.join(folder, f"PPR{r['ppr_id']}{suffix}")
+                part = f"{path}.{uuid.uuid4().hex}"
+                with open(part, "wb") as f:
+                    f.write(value.encode("utf-8") if isinstance(value, str) else bytes(value))
+                os.replace(part, path)
+
+    df.foreachPartition(put)
