@@ -20,6 +20,7 @@ import re
 import unicodedata
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import combinations
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -93,6 +94,15 @@ def alike(a: str, b: str) -> bool:
     return max(n, m) - shared <= 1 and 2 * shared >= ALIKE * (n + m) and shared - lost >= 2
 
 
+def near(t: str, x: str) -> bool:
+    """``alike``, tried only where nearly a half of both is equal, at the beginning or at the end, as one letter apart leaves it."""
+    n, m = len(t), len(x)
+    if -2 < n - m < 2:
+        k = (min(n, m) - 2) // 2 or 1
+        return (t[:k] == x[:k] or t[-k:] == x[-k:] or "*" in t or "*" in x) and alike(t, x)
+    return -3 < n - m < 3 and ("*" in t or "*" in x) and alike(t, x)
+
+
 def person_level(a: tuple[str, ...], b: tuple[str, ...], nicks: frozenset[tuple[str, str]] = frozenset(), given: frozenset[str] = frozenset()) -> int:
     """2: one name in two spellings; 1: possibly, parts are abbreviated, left out or nicknames; 0: no.
 
@@ -103,15 +113,22 @@ def person_level(a: tuple[str, ...], b: tuple[str, ...], nicks: frozenset[tuple[
         a, b = b, a
     if len(b) - len(a) > 2:
         return 0
-    free, whole, short, telling = list(b), 0, 0, False
+    free, whole, telling, odd = list(b), 0, False, []
+    for t in a:
+        if t in free and len(t) > 1:
+            free.remove(t)
+            whole += len(t) > 2
+            telling = telling or (len(t) > 3 and t not in given)
+        else:
+            odd.append(t)
     later = []
-    for t in sorted(a, key=len, reverse=True):
-        hit = t if t in free and len(t) > 1 else next((x for x in free if len(x) > 2 and not (t in given and x in given) and alike(t, x)), None)
+    for t in odd:
+        hit = next((x for x in free if len(x) > 2 and near(t, x) and not (t in given and x in given)), None) if len(t) > 2 else None
         if hit is None:
             later.append(t)
         else:
             free.remove(hit)
-            whole += len(t) > 2
+            whole += 1
             telling = telling or (len(t) > 3 and t not in given and hit not in given)
     if not telling:
         return 0
@@ -120,10 +137,9 @@ def person_level(a: tuple[str, ...], b: tuple[str, ...], nicks: frozenset[tuple[
         if hit is None:
             return 0
         free.remove(hit)
-        short += 1
     if whole >= 2:
         return 1 if any(len(x) > 3 and x not in given for x in free) else 2
-    return 1 if whole and short else 0
+    return 1 if whole and later else 0
 
 
 def _abbreviates(short: str, long: str) -> bool:
@@ -193,20 +209,8 @@ def _tokenised(strings: DataFrame, commas: bool) -> DataFrame:
 
 
 def touching(a: tuple[str, ...], b: tuple[str, ...]) -> bool:
-    """Whether any two tokens are alike; one letter apart leaves nearly a half of both as it is, at the beginning or at the end."""
-    for t in a:
-        n = len(t)
-        for x in b:
-            if t == x:
-                return True
-            m = len(x)
-            if -2 < n - m < 2:
-                k = (min(n, m) - 2) // 2 or 1
-                if (t[:k] == x[:k] or t[-k:] == x[-k:] or "*" in t or "*" in x) and alike(t, x):
-                    return True
-            elif -3 < n - m < 3 and ("*" in t or "*" in x) and alike(t, x):
-                return True
-    return False
+    """Whether any two tokens are alike."""
+    return any(t == x or near(t, x) for t in a for x in b)
 
 
 def suffix_pairs(
@@ -216,10 +220,12 @@ def suffix_pairs(
     shortest: int = SHORTEST,
     common: int = COMMON,
     block: int = BLOCK,
+    given: frozenset[str] = frozenset(),
 ) -> DataFrame:
     """``a`` < ``b``, ``level`` > 0 of all pairs of ``unit`` that share an index key and are alike.
 
-    Names are compared in full only if two of their ``telling`` tokens are alike.
+    Names are compared in full only if two of their ``telling`` tokens are alike; so keys are refined by
+    words that are not ``given`` ones, where a name has any other.
     """
     one = cut(units.select("unit").distinct().withColumn("uid", F.xxhash64("unit")))
     long = one.select("uid", F.posexplode(F.split("unit", " ")).alias("place", "token")).where(F.length("token") >= WORD)
@@ -236,7 +242,8 @@ def suffix_pairs(
     tokens_ = F.split("unit", " ")
     others = F.array_except(tokens_, F.array(F.get(tokens_, "place")))
     hot = known.where(F.col("n") > common).withColumn("others", others)
-    three = hot.select("unit", F.explode(F.array_distinct(F.transform("others", lambda t: F.substring(t, 1, 3)))).alias("start"), "suffix", F.lit(False).alias("brief"))
+    rare = F.filter("others", lambda t: ~t.isin(*sorted(given))) if given else F.col("others")
+    three = hot.select("unit", F.explode(F.array_distinct(F.transform(F.when(F.size(rare) > 0, rare).otherwise(F.col("others")), lambda t: F.substring(t, 1, 3)))).alias("start"), "suffix", F.lit(False).alias("brief"))
     initial = hot.where("whole").select("unit", F.explode(F.array_distinct(F.transform("others", lambda t: F.substring(t, 1, 1)))).alias("start"), "suffix", F.lit(True).alias("brief"))
     refined = three.unionByName(initial).select(F.xxhash64("suffix", "start", "brief").alias("key"), "unit", "brief")
     sizes = refined.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
@@ -266,14 +273,15 @@ def suffix_pairs(
             out: dict[tuple[str, str], int] = {}
             for members, brief in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 parts = [(u, *split(u)) for u in sorted(members)]
-                for n, (a, words, told) in enumerate(parts):
-                    short = brief and any(len(t) <= 2 for t in words)
-                    for b, others, also in parts[n + 1 :]:
-                        # names without an initial meet by three letters
-                        if brief and not short and not any(len(t) <= 2 for t in others):
-                            continue
-                        if touching(told, also) and (a, b) not in out and (found := level(words, others)):
-                            out[a, b] = found
+                if brief:  # names without an initial meet by three letters
+                    initials = [any(len(t) <= 2 for t in words) for _, words, _ in parts]
+                    brief_ones = [n for n, yes in enumerate(initials) if yes]
+                    pairs = ((parts[min(n, m)], parts[max(n, m)]) for n in brief_ones for m in range(len(parts)) if m != n and (m > n or not initials[m]))
+                else:
+                    pairs = combinations(parts, 2)
+                for (a, words, told), (b, others, also) in pairs:
+                    if touching(told, also) and (a, b) not in out and (found := level(words, others)):
+                        out[a, b] = found
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.string()), pa.array([b for _, b in out], pa.string()), pa.array(list(out.values()), pa.int32())], ["a", "b", "level"])
 
     return cut(lists.mapInArrow(run, "a string, b string, level int").distinct())
@@ -344,7 +352,7 @@ def persons(people: DataFrame, orgs: DataFrame) -> DataFrame:
     units = _tokenised(people, commas=False)
     nicks = learnt_nicknames(people, units)
     given = common_given(units)
-    pairs = suffix_pairs(units, lambda a, b: person_level(a, b, nicks, given), lambda words: tuple(t for t in words if len(t) > 3 and t not in given))
+    pairs = suffix_pairs(units, lambda a, b: person_level(a, b, nicks, given), lambda words: tuple(t for t in words if len(t) > 3 and t not in given), given=given)
     first = people.withColumn("aff", F.coalesce(F.try_element_at("affiliations", F.lit(1)), F.lit("")))
     placed = first.join(orgs.select(F.col("name").alias("aff"), "org"), "aff", "left").withColumn("org", F.coalesce("org", F.lit("")))
     bearers = cut(placed.select("name", "orcid", "org").distinct().join(units.select("name", "unit"), "name"))
