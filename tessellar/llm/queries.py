@@ -177,9 +177,15 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shares(_mixed(spark, sf_dir), read(spark, sf_dir, "source_targets"))
 
 
+@query()
+def p9_whole_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mix as large as all listed sources together; small sources repeat as often as they may, then run out."""
+    return _mixed(spark, sf_dir, whole=True)
+
+
 @query()
 def p9_whole_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Actual shares of a mix as large as all listed sources together, where small sources run out."""
+    """Target and actual shares of ``p9_whole_mix``."""
     return shares(_mixed(spark, sf_dir, whole=True), read(spark, sf_dir, "source_targets"))
 
 
