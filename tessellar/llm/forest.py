@@ -30,6 +30,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Rows of a few numbers that may be sent to every task, about 15 MB.
+SENT = 300_000
+
+
+def sent(df: DataFrame, most: int = SENT) -> DataFrame:
+    """The table written, and marked for broadcast if its rows were counted and are few enough; else joined by exchange."""
+    written = cut(df)
+    return F.broadcast(written) if written.count() <= most else written
+
+
 def _forest(edges: DataFrame) -> DataFrame:
     """Edges (a, b) to the edges (node, root) of each task's forest; roots are least members."""
     kind = edges.schema["a"].dataType.simpleString()

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessellar.llm.forest import components, cut
+from tessellar.llm.forest import components, cut, sent
 from tessellar.llm.mojibake import repair
 
 #: Shortest suffix indexed (whole tokens from WORD letters are always), names a key may have before it is refined, and names compared in one block.
@@ -236,7 +236,7 @@ def suffix_pairs(
     )
     # a suffix that all its names continue by the same letter has the very names of the longer one
     counted = index.groupBy("suffix").agg(F.count(F.lit(1)).alias("n"), F.min("before").alias("x"), F.max("before").alias("y")).where("n > 1 AND (x <> y OR x = '')").select("suffix", "n")
-    known = index.join(counted, "suffix").select("uid", "place", "suffix", "n", (F.col("before") == "").alias("whole"))
+    known = index.join(sent(counted), "suffix").select("uid", "place", "suffix", "n", (F.col("before") == "").alias("whole"))
     known = cut(known.join(one, "uid").select("suffix", "n", "whole", "place", "unit"))
     # a common suffix is refined by the first letters of another token: three, or one where a name has an initial only
     tokens_ = F.split("unit", " ")

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessellar.llm.forest import components, cut
+from tessellar.llm.forest import components, cut, sent
 
 #: Share of the passages of the shorter record from which two records are of one text.
 SHARED = 0.4
@@ -37,17 +37,24 @@ SHARD = 100_000
 SLICE = 500
 
 _PARAGRAPH = re.compile(r"<p(?:\s[^>]*)?>(.*?)</p>", re.S)
-_END = re.compile(r"(?<=[.!?])\s+")
+_END = re.compile(rb"(?<=[.!?])\s+")
 _TAG = re.compile(r"<[^>]*>|&[#\w]+;")
-_NOT_KEPT = re.compile(r"[^a-z0-9]+")
+_SPACES = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_KEPT = b"abcdefghijklmnopqrstuvwxyz0123456789"
+_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+_DROPPED = bytes(c for c in range(256) if _LOWER[c] not in _KEPT)
 
 
 def sentence_hashes(text: str | None) -> list[int]:
     """Hashes (signed 64 bits) of the reduced sentences of all paragraphs, in order."""
     out = []
     for p in _PARAGRAPH.findall(text or ""):
-        for s in _END.split(_TAG.sub("", p)):
-            kept = _NOT_KEPT.sub("", s.lower())
+        if "<" in p or "&" in p:
+            p = _TAG.sub("", p)
+        if not p.isascii():
+            p = _SPACES.sub(" ", p)
+        for s in _END.split(p.encode("ascii", "ignore")):
+            kept = s.translate(_LOWER, _DROPPED)
             if len(kept) > LETTERS:
                 h = xxhash.xxh3_64_intdigest(kept)
                 out.append(h - (1 << 64) if h >> 63 else h)
@@ -83,8 +90,8 @@ def classes(said: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _postings(marks: DataFrame) -> DataFrame:
     """``mark``, ``rep``, ``n`` (passages of the record), ``df``, ``lead`` (among those the record searches by) of passages borne by several."""
     one = marks.select("rep", F.size("marks").alias("n"), F.explode("marks").alias("mark"))
-    counts = one.groupBy("mark").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    held = one.join(counts, "mark")
+    counts = sent(one.groupBy("mark").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
+    held = cut(one.join(counts, "mark"))
     # how many rarer passages the record has: those borne by it alone, and the held ones before this one
     hot = held.where(F.col("df") > COMMON)
     rarer = held.groupBy("rep").agg(F.count_if(F.col("df") <= COMMON).alias("cool"), F.count_if(F.col("df") > COMMON).alias("warm"))

@@ -23,7 +23,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessellar.llm.forest import components, cut
-from tessellar.llm.names import tokens
 from tessellar.llm.passages import SHARED, candidates, classes, sequences, shared_part
 
 #: Rounds of expectation-maximisation; both models settle in fewer.
@@ -41,21 +40,31 @@ def plain_doi(doi: Column) -> Column:
     return F.when((bare != "") & ~bare.rlike(r"[./](?:0+|x+|n/?a|none|tba)$"), bare)
 
 
+_LONG = re.compile(r"[a-z]{5,}")
+_NOT_KEPT = re.compile(r"[^a-z0-9]+")
+
+
+def _plain(text: str | None) -> str:
+    """Lower-case text without accents."""
+    if not text or text.isascii():
+        return (text or "").lower()
+    return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c)).lower()
+
+
 def _fold(text: str | None) -> str:
-    plain = "".join(c for c in unicodedata.normalize("NFKD", text or "") if not unicodedata.combining(c))
-    return re.sub(r"[^a-z0-9]+", "", plain.lower())
+    return _NOT_KEPT.sub("", _plain(text))
 
 
 def _fronts(df: DataFrame, key: str) -> DataFrame:
-    """``k``, ``doi``, ``title`` (folded), ``people`` (surname-like tokens of the authors), ``first`` (the least of the first author's)."""
+    """``k``, ``doi``, ``title`` (folded), ``people`` (words of five letters or more of the authors' names), ``first`` (the least of the first author's)."""
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             titles = [_fold(t) for t in batch.column(2).to_pylist()]
-            cut = [[[w for w in tokens(n) if len(w) > 4] for n in names or ()] for names in batch.column(3).to_pylist()]
-            people = [sorted({w for ws in c for w in ws}) for c in cut]
-            first = [max(c[0], key=lambda w: (len(w), w), default=None) if c else None for c in cut]
+            found = [[_LONG.findall(_plain(n)) for n in names or ()] for names in batch.column(3).to_pylist()]
+            people = [sorted({w for ws in f for w in ws}) for f in found]
+            first = [max(f[0], key=lambda w: (len(w), w), default=None) if f else None for f in found]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(titles, pa.string()), pa.array(people, pa.list_(pa.string())), pa.array(first, pa.string())], ["k", "doi", "title", "people", "first"])
 
     picked = df.select(F.col(key).alias("k"), plain_doi(F.col("doi")).alias("doi"), "title", F.transform("authors", lambda a: a["name"]).alias("names"))
