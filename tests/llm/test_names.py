@@ -60,6 +60,28 @@ def test_blocks_lose_no_pair(spark, shared, common, block):
     assert got <= want and {w for w in want if w[2] == 2} <= got and len(want - got) <= 1
 
 
+@pytest.mark.parametrize("common", [2, 20])
+def test_mistakes_anywhere_meet_under_common_keys(spark, shared, common):
+    # mistakes in the first and in the last letters, beside an initial or a nickname, among many bearers of one surname
+    people = ["Joana Galutadao", "Jaona Galutadao", "Ojana Galutadao", "J. Galutadoa", "Paty Galutadao", "Patricia Galutadao", "Ze Galutadao", "Jose Galutadao", "Jo*na Galutadao", "J*ana Galut*dao", "Joana Gal*t*dao"]
+    people += [f"{x}{y}nisio Galutadao" for x in "BDFGKLMN" for y in "aeiou"] + ["Sem Parente"]
+    nicks = frozenset(p for a, b in [("paty", "patricia"), ("jose", "ze")] for p in [(a, b), (b, a)])
+    level = lambda a, b: N.person_level(a, b, nicks)
+    units = sorted({" ".join(sorted(N.tokens(p))) for p in people})
+    want = {(a, b, lv) for a, b in itertools.combinations(units, 2) if (lv := level(tuple(a.split()), tuple(b.split())))}
+    assert {("galutadao joana", "galutadao ojana", 2), ("galutadao joana", "galutadoa j", 1), ("galutadao patricia", "galutadao paty", 1), ("galutadao jose", "galutadao ze", 1)} <= want
+    df = spark.createDataFrame([(u,) for u in units], "unit string")
+    assert {tuple(r) for r in N.suffix_pairs(df, level, common=common, block=7, nicks=nicks).collect()} == want
+
+
+def test_kin_share_a_key(spark, shared):
+    tokens = ["joana", "jaona", "ojana", "joaan", "jona", "jooana", "jo*na", "j**na", "joan*", "marina", "mariana", "ma*ia", "maria", "ana", "*na", "xyz"]
+    got = {}
+    for r in N.kin(spark.createDataFrame([(t, 1 + len(t) % 3) for t in tokens], "token string, n int")).collect():
+        got.setdefault(r.token, set()).add(r.key)
+    assert all(got[a] & got[b] for a, b in itertools.combinations(tokens, 2) if N.near(a, b)) and got["xyz"] == {"xyz"}
+
+
 def rows(*people):
     return [(k, [(n, o, a) for n, o, a in authors]) for k, authors in people]
 
