@@ -24,6 +24,13 @@ def test_common_given_names_do_not_tell():
     assert N.person_level(cut("Zeca Souza"), cut("Jose Souza"), frozenset({("zeca", "jose"), ("jose", "zeca")})) == 1
 
 
+def test_left_out_parts():
+    level = lambda a, b: N.person_level(*(tuple(sorted(N.tokens(x))) for x in (a, b)), given=frozenset({"maria", "clara"}))
+    assert level("Clara Souza", "Clara Maria Souza Galutadao") == 0 and level("C. Souza", "C. M. Souza Galutadao") == 0
+    assert level("G. Souza", "Maria Souza Galutadao") == 0 and level("M. Souza", "Maria Souza Galutadao") == 1
+    assert level("Maria Souza", "Maria Clara Souza") == 1 and level("Maria Souza", "Maria Souza Galutadao") == 1
+
+
 def cut(s):
     return tuple(x for n, part in enumerate(s.split(",", 1)) for x in ((",",) * n + N.tokens(part, False)))
 
@@ -104,3 +111,29 @@ def test_pairs_of_people_and_organisations(spark, shared):
     assert N.name_pairs(df.limit(0), "k", "authors").count() == 0
     people = {(r.k, r.person) for r in N.author_persons(df, "k", "authors").collect()}
     assert ("1", "0000070000000001") in people and ("3", "0000070000000001") in people and ("4", "0000070000000002") in people
+
+
+def test_abbreviated_names_stay_in_their_organisation(spark, shared):
+    uni, school = "Universidade Federal de Nogoonte", "Escola Superior Vila Rica"
+    data = rows(
+        ("1", [("Joana Alencastro Belmonte", "0000-0700-0000-0001", [uni])]),
+        ("2", [("Joana Alencastro", "", [school])]),
+        ("3", [("Alencastro Belmonte, J.", "", [school])]),
+        ("4", [("Joana Galutadao Belmonte", "0000-0700-0000-0002", [uni])]),
+        ("5", [("Joana Galutadao", "", [uni])]),
+        ("6", [("J. Galutadao", "", [])]),
+    )
+    df = spark.createDataFrame(data, "k string, authors array<struct<name: string, orcid: string, affiliations: array<string>>>")
+    who = {r.k: r.person for r in N.author_persons(df, "k", "authors").collect()}
+    assert who["2"] != who["1"] == who["3"] and who["4"] == who["5"] == who["6"]
+
+
+def test_chance_nicknames_are_not_learnt(spark, shared):
+    uni = ["Universidade Federal de Nogoonte"]
+    data = []
+    for n, surname in enumerate("galutadao belmonte alencastro visalubim nolacudez lobajabal memajarner gabomoras dopevindra nasavedez cofimirin redibonha".split()):
+        name = ("Robert Esther " if n < 2 else "Robert ") + surname.title()
+        data += [(f"{n}{m}", [(x, f"0000-0700-0000-00{n:02}", uni)]) for m, x in enumerate((name, name, "Bob " + surname.title()))]
+    data += [("x", [(f"Esther {x}{y}taconha", "", uni) for x in "BDFG" for y in "aeiou"])]
+    people = N.mentions(spark.createDataFrame(data, "k string, authors array<struct<name: string, orcid: string, affiliations: array<string>>>"), "k", "authors")
+    assert N.learnt_nicknames(people, N._tokenised(people, commas=False)) == {("bob", "robert"), ("robert", "bob")}
