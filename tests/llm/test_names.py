@@ -89,6 +89,12 @@ def test_kin_share_a_key(spark, shared):
     assert all(got[a] & got[b] for a, b in itertools.combinations(tokens, 2) if N.near(a, b)) and got["xyz"] == {"xyz"}
 
 
+def test_common_endings_are_no_common_keys(spark, shared):
+    tokens = [f"{x}{y}rabatel" for x, y in itertools.product(["ba", "ce", "di", "fo", "gu"], repeat=2)]
+    got = [tuple(r) for r in N.kin(spark.createDataFrame([(t, 1) for t in tokens], "token string, n int")).collect()]
+    assert sorted(got) == sorted((t, t) for t in tokens)
+
+
 def rows(*people):
     return [(k, [(n, o, a) for n, o, a in authors]) for k, authors in people]
 
