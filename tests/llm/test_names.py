@@ -95,6 +95,20 @@ def test_common_endings_are_no_common_keys(spark, shared):
     assert sorted(got) == sorted((t, t) for t in tokens)
 
 
+@pytest.mark.parametrize("brief", [False, True])
+def test_names_of_a_group_meet_by_every_token(brief):
+    # many bearers of one name beside another, of which few can be one person: only these are compared, and all of them
+    endings = itertools.product("bcdfglmn", "aeiou", ["rabatel", "lojavico", "motandes", "dilindra", "pegateira", "fusobuck"])
+    people = [f"Ulrike Marga {a}{b}{c}" for a, b, c in endings]
+    people += ["Ulrike Marga", "Marga Ulrike Barabatle", "U. M. Barabatel", "Ulrike M. Barabatel", "Ulrike Barabatel", "Uli Marga Barabatel", "Ulr*ke M*rga B*rabatel", "Ulrike Marga B*r*batel", "UM Barabatel", "Ulrike Marga Ana Barabatel", "Ulrike Marga Ana Eva Barabatel"]
+    nicks = frozenset([("uli", "ulrike"), ("ulrike", "uli")])
+    names = sorted(tuple(sorted(N.tokens(p))) for p in people)
+    told = lambda n, m: (not brief or any(len(t) <= 2 for t in names[n] + names[m])) and N.person_level(names[n], names[m], nicks)
+    want = {x for x in itertools.combinations(range(len(names)), 2) if told(*x)}
+    got = list(N.meetings(names, brief, {"uli": ["ulrike"], "ulrike": ["uli"]}))
+    assert want and want <= set(got) and len(got) == len(set(got)) < 0.35 * len(names) * (len(names) - 1) / 2
+
+
 def rows(*people):
     return [(k, [(n, o, a) for n, o, a in authors]) for k, authors in people]
 
