@@ -81,6 +81,22 @@ def test_mistakes_anywhere_meet_under_common_keys(spark, shared, common):
     assert {tuple(r) for r in N.suffix_pairs(df, level, common=common, block=7, nicks=nicks).collect()} == want
 
 
+@pytest.mark.parametrize("block", [2, 200])
+def test_only_groups_with_an_initial_are_held(spark, shared, block):
+    # under one surname: no given name of N or T is abbreviated, so these do not meet by their first letters
+    given = ["m", "maria", "marta", "mona", "mirta", "mo", "nadia", "nora", "nilza", "tania", "tilda"]
+    rest = spark.createDataFrame([("galutadao", f"{g} galutadao", g) for g in given], "key string, unit string, token string")
+    names = spark.createDataFrame([(g, g) for g in given], "token string, key string")
+    refined = N.refinement(rest, names)
+    cells = {}
+    for r in N.held_groups(refined, block).where("brief").collect():
+        cells.setdefault((r.key, r.cell), set()).add(r.unit.split()[0])
+    assert {g for m in cells.values() for g in m} == {g for g in given if g[0] == "m"}
+    together = {p for m in cells.values() for p in itertools.combinations(sorted(m), 2)}
+    assert {tuple(sorted((x, g))) for x in ("m", "mo") for g in given if g[0] == "m" and g != x} <= together
+    assert not N.held_groups(refined, block).where("NOT brief").count()
+
+
 def test_kin_share_a_key(spark, shared):
     tokens = ["joana", "jaona", "ojana", "joaan", "jona", "jooana", "jo*na", "j**na", "joan*", "marina", "mariana", "ma*ia", "maria", "ana", "*na", "xyz"]
     got = {}

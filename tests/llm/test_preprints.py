@@ -98,3 +98,12 @@ def test_survivor_keeps_what_is_surely_true(spark, shared):
     one = R.survivors(df, "k", groups).collect()
     assert len(one) == 1 and (one[0].doi, one[0].title, one[0].language) == ("10.1234/abc", "A study of something long", "pt")
     assert "Ana Belmonte" in one[0].author_names and one[0].license is None
+
+
+def test_sentences_of_odd_paragraphs():
+    one, two = "Primeira frase bem longa", "Segunda frase bem longa"
+    want = P.sentence_hashes(f"<p>{one}</p><p>{two}</p>")
+    assert len(set(want)) == 2
+    for text in (f"<p>{one}. {two}.</p>", f"<p x='1'>{one}!\xa0{two}</p>", f"<p>{one}.  </p>\n<p>\n {two}</p>", f"<p>{one}&amp;</p><p>&#160;<i>{two}</i></p>", f"<pre>x</pre><p>{one}.\u2003..\u3000{two} ?</p><p>{one}"):
+        assert P.sentence_hashes(text) == want
+    assert P.sentence_hashes(f"<p>{one}<p>{two}</p>{one}</p>") == P.sentence_hashes(f"<p>{one} {two}</p>") and P.sentence_hashes(None) == P.sentence_hashes("<p") == []
